@@ -24,3 +24,20 @@ def pct(num, den, digits: int = 2) -> Column:
 def count_where(cond: Column) -> Column:
     """COUNT of rows satisfying cond (NULL counts as false)."""
     return F.count_if(cond)
+
+
+def pct_of_counts(num, den) -> Column:
+    """round(100 * num / den, 2) for integer counts, rounded HALF_UP exactly
+    with integer arithmetic, as DOUBLE; NULL when den is 0 or NULL.
+
+    Rounding a floating quotient is engine-dependent at ties (1.005); the
+    integer form is not: floor((20000*num + den) / (2*den)) / 100.
+    """
+    n, d = _c(num).cast("long"), _c(den).cast("long")
+    hundredths = F.floor((n * 20000 + d) / (d * 2))
+    return F.when(d != 0, hundredths.cast("double") / F.lit(100.0))
+
+
+def money_sum(col) -> Column:
+    """Exact decimal sum presented as DOUBLE."""
+    return F.sum(_c(col)).cast("double")

@@ -154,11 +154,11 @@ def enriched_items(classified_items: DataFrame) -> DataFrame:
     return v.select(*SILVER_COLUMNS["order_items"], *[F.col(f"o_{c}").alias(c) for c in ORDER_CARRY])
 
 
-def rejection_summary(classified: dict[str, DataFrame]) -> DataFrame:
-    """Count of rejected rows by table and reason (one pass per table)."""
-    parts = [V.rejected_rows(df).groupBy(V.REASON).agg(F.count(F.lit(1)).alias("rejected_rows"))
+def rejection_summary(rejected: dict[str, DataFrame]) -> DataFrame:
+    """Count of rejected rows by table and reason (one pass per quarantine table)."""
+    parts = [df.groupBy(V.REASON).agg(F.count(F.lit(1)).alias("rejected_rows"))
              .select(F.lit(t).alias("table_name"), V.REASON, "rejected_rows")
-             for t, df in classified.items()]
+             for t, df in rejected.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

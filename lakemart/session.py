@@ -17,6 +17,11 @@ DEFAULT_CONF = {
     # Bronze appends replace only the partitions (batch ids) they write.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+    # Keep the driver's status store small for long sessions of many queries.
+    "spark.sql.ui.retainedExecutions": "50",
+    "spark.ui.retainedJobs": "200",
+    "spark.ui.retainedStages": "200",
 }
 
 
@@ -27,6 +32,7 @@ def build_session(master: str = "local[8]", app: str = "lakemart",
     b = SparkSession.builder.master(master).appName(app)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    conf.setdefault("spark.driver.memory", "8g")
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
