@@ -34,5 +34,8 @@ def in_domain_or(col, allowed: Iterable[str], default: str = UNKNOWN) -> Column:
 
 
 def padded_id(prefix: str, key, width: int) -> Column:
-    """Zero-padded business id such as ``CUST0000042``; never truncates."""
-    return F.format_string(f"{prefix}%0{width}d", _c(key))
+    """Zero-padded business id such as ``CUST0000042`` for a non-negative
+    integer key; a key wider than ``width`` is kept whole, never truncated."""
+    s = _c(key).cast("string")
+    digits = F.when(F.length(s) >= width, s).otherwise(F.lpad(s, width, "0"))
+    return F.concat(F.lit(prefix), digits)

@@ -1,10 +1,15 @@
 """Table layout: partitioned writes and multi-column clustering.
 
 ``OPTIMIZE ... ZORDER BY (a, b)`` is re-aimed as a plain Spark job: the
-z-value interleaves the bits of the (dense, non-negative) integer keys, the
-table is range-partitioned on (partition columns, z) and sorted within
-partitions, so each Parquet file and row group covers a compact box of
-(a, b) and the min/max statistics let a filter on either key skip files.
+z-value interleaves the bits of the (dense, non-negative) integer keys; rows
+are distributed by the partition columns and sorted by (partition columns, z)
+inside every file, so row-group min/max statistics on either key become
+selective and a filter on them skips row groups.
+
+Partitioned writes use the ``rebalance`` hint: AQE splits a large partition
+value (one month holding a third of the rows) over several tasks and merges
+small ones towards the advisory partition size, so no task writes a whole
+month and no month is shattered into tiny files.
 """
 
 from __future__ import annotations
@@ -14,32 +19,62 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Masks that spread the low 32 bits of a value over the even
+# bit positions of a 64-bit word (shift, mask) -- the standard Morton steps.
+_SPREAD_2D = [
+    (16, 0x0000FFFF0000FFFF),
+    (8, 0x00FF00FF00FF00FF),
+    (4, 0x0F0F0F0F0F0F0F0F),
+    (2, 0x3333333333333333),
+    (1, 0x5555555555555555),
+]
+
+
+def _col(c) -> Column:
+    return F.col(c) if isinstance(c, str) else c
+
+
+def _spread(c: Column) -> Column:
+    x = c
+    for shift, mask in _SPREAD_2D:
+        x = (x.bitwiseOR(F.shiftleft(x, shift))).bitwiseAND(F.lit(mask))
+    return x
+
 
 def z_value(cols: Sequence[str | Column], bits: int = 31) -> Column:
-    """Morton code of non-negative integers (bit i of column j lands at
-    position i*len(cols) + j).  2 columns x 31 bits fit a signed BIGINT."""
-    cs = [F.col(c) if isinstance(c, str) else c for c in cols]
+    """Morton code of non-negative integers, using the low ``bits`` bits of
+    each: bit i of column j lands at position i*len(cols) + j."""
+    cs = [_col(c).cast("long").bitwiseAND(F.lit((1 << bits) - 1)) for c in cols]
+    if len(cs) == 2 and bits <= 31:
+        return _spread(cs[0]).bitwiseOR(F.shiftleft(_spread(cs[1]), 1))
     assert bits * len(cs) <= 63, "z-value would overflow BIGINT"
     z = F.lit(0).cast("long")
     for i in range(bits):
         for j, c in enumerate(cs):
-            bit = F.shiftright(c.cast("long"), i).bitwiseAND(F.lit(1))
-            z = z + F.shiftleft(bit, i * len(cs) + j)
+            z = z.bitwiseOR(F.shiftleft(F.shiftright(c, i).bitwiseAND(F.lit(1)), i * len(cs) + j))
     return z
 
 
 def clustered(df: DataFrame, cluster_cols: Sequence[str], partition_cols: Sequence[str] = (),
-              files_per_partition: int | None = None, bits: int = 31) -> DataFrame:
-    """Rows ordered for clustering; write the result with
-    ``.write.partitionBy(*partition_cols)``."""
-    spark = df.sparkSession
-    n = files_per_partition or int(spark.conf.get("spark.sql.shuffle.partitions"))
+              mode: str = "rebalance", files: int | None = None, bits: int = 31) -> DataFrame:
+    """Rows laid out for clustering; write with ``.write.partitionBy(*partition_cols)``.
+
+    ``mode="rebalance"`` (default): AQE-sized tasks per partition value, rows
+    sorted by z inside each file.  ``mode="range"``: range-partition on
+    (partition columns, z) into ``files`` tasks so every file also covers a
+    disjoint z-range (file-level skipping; costs a sampling pass).
+    """
     z = df.withColumn("_z", z_value(cluster_cols, bits))
-    return (z.repartitionByRange(n, *partition_cols, "_z")
-            .sortWithinPartitions(*partition_cols, "_z").drop("_z"))
+    if mode == "range":
+        n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        z = z.repartitionByRange(n, *partition_cols, "_z")
+    elif partition_cols:
+        z = z.hint("rebalance", *partition_cols)
+    else:
+        z = z.hint("rebalance")
+    return z.sortWithinPartitions(*partition_cols, "_z").drop("_z")
 
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str], mode: str = "overwrite") -> None:
-    """Partitioned write; rows are first hash-partitioned by the partition
-    columns so each task writes few directories (no small-file explosion)."""
-    (df.repartition(*partition_cols).write.mode(mode).partitionBy(*partition_cols).parquet(path))
+    """Partitioned write through the ``rebalance`` hint (see module doc)."""
+    df.hint("rebalance", *partition_cols).write.mode(mode).partitionBy(*partition_cols).parquet(path)

@@ -85,6 +85,45 @@ def fk_check(layer: str, table: str, child: DataFrame, key: str, parent: DataFra
     return _rows(layer, table, agg, [name])
 
 
+@dataclass(frozen=True)
+class FkCheck:
+    name: str
+    key: str
+    parent: DataFrame
+    parent_key: str | None = None
+
+
+def table_checks(layer: str, table: str, df: DataFrame, key: str | None = None,
+                 scalars: Sequence[ScalarCheck] = (), fks: Sequence[FkCheck] = (),
+                 dup_name: str | None = None) -> DataFrame:
+    """Every check of one table in one plan.
+
+    FK existence flags are joined first (left join to the distinct parent
+    keys).  With a duplicate check, rows are then reduced per key by a
+    partial (map-side) aggregate -- a key holding a third of the table costs
+    one row per map task in the shuffle -- and a final global aggregate
+    yields total, duplicate excess and all failure counts at once.
+    """
+    d = df
+    conds = [c.fails for c in scalars]
+    names = [c.name for c in scalars]
+    for i, fk in enumerate(fks):
+        keys = (fk.parent.select(F.col(fk.parent_key or fk.key).alias(f"__pk{i}")).distinct()
+                .withColumn(f"__hit{i}", F.lit(True)))
+        d = d.join(keys, F.col(fk.key) == F.col(f"__pk{i}"), "left")
+        conds.append(F.col(f"__hit{i}").isNull())
+        names.append(fk.name)
+    if key is None:
+        agg = d.agg(F.count(F.lit(1)).alias("_total"), *[F.count_if(c).alias(f"_f{i}") for i, c in enumerate(conds)])
+        return _rows(layer, table, agg, names)
+    per_key = d.groupBy(key).agg(F.count(F.lit(1)).alias("_n"),
+                                 *[F.count_if(c).alias(f"_k{i}") for i, c in enumerate(conds)])
+    agg = per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_total"),
+                      F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias(f"_f{len(conds)}"),
+                      *[F.coalesce(F.sum(f"_k{i}"), F.lit(0)).alias(f"_f{i}") for i in range(len(conds))])
+    return _rows(layer, table, agg, names + [dup_name or f"Duplicate {key}"])
+
+
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:

@@ -262,7 +262,7 @@ register("dq_summary_extended")(lambda c: dq.run_all_checks("bronze", dq.bronze_
 
 def _dq_rows(check_name: str):
     def f(c: Ctx):
-        return dq.dq_summary(c.model).filter(F.col("check_name") == check_name)
+        return dq.dq_summary(c.model, only={check_name})
     return f
 
 
@@ -278,7 +278,7 @@ for _key, _check in {
 
 @register("dq_duplicate_excess")
 def _dup_excess(c: Ctx):
-    return dq.dq_summary(c.model).filter(F.col("check_name").startswith("Duplicate"))
+    return dq.dq_summary(c.model, only={"Duplicate customer_id", "Duplicate order_id", "Duplicate payment_id"})
 
 
 def _bronze(c: Ctx):

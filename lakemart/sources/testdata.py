@@ -66,9 +66,10 @@ def read_tpch(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def _with_duplicates(df: DataFrame, is_dup: Column) -> DataFrame:
-    """Originals get seq 0; rows matching is_dup are appended again with seq 1."""
-    base = df.withColumn("seq", F.lit(0))
-    return base.unionByName(df.filter(is_dup).withColumn("seq", F.lit(1)))
+    """Originals get seq 0; rows matching is_dup appear once more with seq 1.
+    One pass: each row explodes into its list of copies (no self-union)."""
+    copies = F.when(is_dup, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return df.withColumn("seq", F.explode(copies))
 
 
 def customers(t: dict[str, DataFrame]) -> DataFrame:
