@@ -251,6 +251,28 @@ register("yoy_sales")(lambda c: timeintel.yoy_sales(c.model.fact_sales))
 register("mom_growth_gap_aware")(lambda c: timeintel.mom_growth(c.model.fact_sales))
 
 
+# ----- fault injection (over the clean silver tables) ------------------------------
+
+@register("inject_duplicates")
+def _inject_dups(c: Ctx):
+    from lakemart.operators import faults
+    return faults.strip_flags(faults.inject_duplicates(c.model.silver_customers, 0.01, "customer_id"))
+
+
+@register("fault_injection_report")
+def _fault_report(c: Ctx):
+    from lakemart.operators import faults
+    from lakemart.sources import schemas as S
+    parts = []
+    for table, issues in faults.ISSUE_PLANS.items():
+        injected = faults.apply_issues(c.model.silver(table), S.KEYS[table], issues)
+        parts.append(faults.issue_report(injected, table, issues))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 # ----- data quality --------------------------------------------------------------
 
 register("dq_summary")(lambda c: dq.dq_summary(c.model))
@@ -286,6 +308,7 @@ def _bronze(c: Ctx):
 
 
 register("dq_duplicate_keys")(lambda c: dq.duplicate_customer_ids(_bronze(c)))
+register("raw_validation")(lambda c: dq.raw_validation(_bronze(c)))
 register("dqsql_01")(lambda c: dq.null_city_pct(_bronze(c)))
 register("dqsql_02")(lambda c: dq.duplicate_customer_ids(_bronze(c)))
 register("dqsql_03")(lambda c: dq.missing_category(_bronze(c)))

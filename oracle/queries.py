@@ -315,6 +315,27 @@ Q["dq_duplicate_excess"] = f"SELECT * FROM ({DQ_ALL}) WHERE check_name LIKE 'Dup
 
 Q["dq_duplicate_keys"] = ("SELECT customer_id, COUNT(*) AS occurrences FROM b_customers GROUP BY customer_id "
                           "HAVING COUNT(*) > 1")
+def _rv(name, expr, src):
+    return f"SELECT '{name}' AS check_name, CAST({expr} AS DOUBLE) AS value FROM {src}"
+
+
+Q["raw_validation"] = "\nUNION ALL ".join([
+    _rv("Duplicate customer IDs", "COUNT(*) - COUNT(DISTINCT customer_id)", "b_customers"),
+    _rv("Missing customer city", "COUNT(*) FILTER (WHERE city IS NULL)", "b_customers"),
+    _rv("Missing product category", "COUNT(*) FILTER (WHERE category IS NULL)", "b_products"),
+    _rv("Negative product price", "COUNT(*) FILTER (WHERE selling_price < 0)", "b_products"),
+    _rv("Duplicate order IDs", "COUNT(*) - COUNT(DISTINCT order_id)", "b_orders"),
+    _rv("Orders with invalid customer_id FK", "COUNT(*)",
+        "b_orders o WHERE NOT EXISTS (SELECT 1 FROM b_customers c WHERE c.customer_id = o.customer_id)"),
+    _rv("Order items with negative quantity", "COUNT(*) FILTER (WHERE quantity < 0)", "b_order_items"),
+    _rv("Order items with invalid product_id FK", "COUNT(*)",
+        "b_order_items i WHERE NOT EXISTS (SELECT 1 FROM b_products p WHERE p.product_id = i.product_id)"),
+    _rv("Duplicate payment IDs", "COUNT(*) - COUNT(DISTINCT payment_id)", "b_payments"),
+    _rv("Payments with invalid amount", "COUNT(*) FILTER (WHERE payment_amount <= 0)", "b_payments"),
+    _rv("Null order total_amount", "COUNT(*) FILTER (WHERE total_amount IS NULL)", "b_orders"),
+    "SELECT 'Avg items per order' AS check_name, CAST((SELECT COUNT(*) FROM b_order_items) AS DOUBLE) / "
+    "NULLIF(CAST((SELECT COUNT(DISTINCT order_id) FROM b_orders) AS DOUBLE), 0) AS value",
+])
 Q["dqsql_01"] = ("SELECT COUNT(*) AS total_records, COUNT(*) FILTER (WHERE city IS NULL) AS failed_records, "
                  f"{pct_counts('COUNT(*) FILTER (WHERE city IS NULL)', 'COUNT(*)')} AS failed_pct FROM b_customers")
 Q["dqsql_02"] = Q["dq_duplicate_keys"]
@@ -339,5 +360,25 @@ Q["dqsql_09a"] = _tf("b_orders", f"order_status NOT IN ({', '.join(repr(v) for v
 Q["dqsql_09b"] = _tf("b_payments", f"payment_status NOT IN ({', '.join(repr(v) for v in S.PAYMENT_STATUSES)})")
 
 
+# ----- fault injection report: exactly floor(n * pct) rows per issue; a
+# duplicates issue grows the table for the issues after it
+def _fault_report() -> str:
+    from lakemart.operators.faults import ISSUE_PLANS
+    parts = []
+    for table, issues in ISSUE_PLANS.items():
+        grow = "0"
+        for iss in issues:
+            n = f"((SELECT COUNT(*) FROM s_{table}) + {grow})"
+            k = f"CAST(floor(CAST({n} AS DECIMAL(20,0)) * CAST('{iss.pct}' AS DECIMAL(10,6))) AS BIGINT)"
+            parts.append(f"SELECT '{table}' AS table_name, '{iss.label}' AS issue, "
+                         f"CAST({round(iss.pct * 100, 6)} AS DOUBLE) AS target_pct, {k} AS rows_affected")
+            if iss.kind == "duplicates":
+                grow = f"({grow} + {k})"
+    return "\nUNION ALL ".join(parts)
+
+
+Q["fault_injection_report"] = _fault_report()
+
+
 def oracle_sql() -> dict[str, str]:
     return {k: PREFIX + v for k, v in Q.items()}
