@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakemart.session import ensure_checkpoint_dir
+
 
 def hash_key(*cols: str) -> Column:
     """Stable 64-bit key of natural-key columns; independent of partitioning."""
@@ -18,11 +20,14 @@ def with_dense_key(df: DataFrame, order_cols: str | Sequence[str], key_name: str
     """Add ``key_name`` = 1..n in ``order_cols`` order (row_number over the
     whole table) without funnelling the table through one task.
 
-    Rows are range-partitioned and sorted within partitions; each partition's
-    row count gives its offset (a table with one row per partition, so the
-    broadcast is bounded by the partition count); the key is offset + position.
-    Both consumers of the range exchange read one shuffle (exchange reuse), so
-    positions and offsets agree.  ``order_cols`` must be unique.
+    Rows are range-partitioned and sorted within partitions and tagged with
+    (partition id, position); each partition's row count gives its offset (a
+    table with one row per partition, so the broadcast is bounded by the
+    partition count); the key is offset + position.  The tagged rows are
+    checkpointed (reliable, to the shared ``spark.checkpoint.dir``) so the
+    counting pass and the numbering pass read the very same rows: without it,
+    column pruning gives each pass its own range exchange, each with its own
+    sampled bounds.  ``order_cols`` must be unique.
     """
     order = [order_cols] if isinstance(order_cols, str) else list(order_cols)
     spark = df.sparkSession
@@ -30,6 +35,8 @@ def with_dense_key(df: DataFrame, order_cols: str | Sequence[str], key_name: str
     tagged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
+    ensure_checkpoint_dir(spark)
+    tagged = tagged.checkpoint(eager=True)
     sizes = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_pid", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
