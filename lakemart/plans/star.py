@@ -30,15 +30,30 @@ STAR_ATTRIBUTES = {
 
 def star(m, how: str = "left", dims: Sequence[str] | None = None) -> DataFrame:
     """Fact with the attributes of its many-to-one dimensions.  Left joins keep
-    a fact row whose key has no dimension row (blank member)."""
+    a fact row whose key has no dimension row (blank member).  A dimension is
+    broadcast when the model knows its (bounded) row count; ``dim_date`` is
+    joined on (date_key, year, month) so a filter on calendar attributes
+    prunes fact partitions dynamically."""
+    from lakemart.operators.joins import maybe_broadcast
+    rows = getattr(m, "dim_rows", None) or {}
     f = m.fact_sales
     for name in dims or STAR_ATTRIBUTES:
         key, attrs = STAR_ATTRIBUTES[name]
-        d = getattr(m, name).select(key, *[F.col(src).alias(dst) for src, dst in attrs.items()])
-        f = f.join(d, key, how)
+        keys = [key, "year", "month"] if name == "dim_date" else [key]
+        d = getattr(m, name).select(*keys, *[F.col(src).alias(dst) for src, dst in attrs.items()])
+        f = f.join(maybe_broadcast(d, rows.get(name)), keys, how)
     return f
 
 
+def date_slice(m, **calendar_filters) -> DataFrame:
+    """Fact rows of the calendar days matching ``column=[values]`` filters on
+    dim_date (e.g. ``year=[1998], quarter=[1]``): a semi join on
+    (date_key, year, month), which Spark turns into partition pruning of the
+    stored fact."""
+    d = slice_(m.dim_date, **calendar_filters).select("date_key", "year", "month")
+    return m.fact_sales.join(d, ["date_key", "year", "month"], "left_semi")
+
+
 def slice_(df: DataFrame, **filters) -> DataFrame:
     """Dimension slicers: ``column=[values]`` becomes ``column IN (values)``."""
     for col, values in filters.items():
