@@ -90,9 +90,33 @@ class StoredModel:
         raise AttributeError(name)
 
 
+def ingest_landing(spark: SparkSession, landing: dict[str, str], lake: Lake, batch_id: str | None = None,
+                   infer_csv: bool = False) -> dict[str, int]:
+    """Bronze step of the file path: read each landed source (CSV with header
+    and declared schema, or Parquet), tag it and append it as one batch.
+    Returns the ingested row count per table (counted while writing)."""
+    from lakemart.sources import bronze as B
+    bid = batch_id or B.default_batch_id()
+    counts = {}
+    for t, path in landing.items():
+        obs = B.ingest_to_bronze(spark, path, S.FORMATS[t], lake.path("bronze", t), bid,
+                                 schema=S.SOURCES[t], infer=infer_csv and S.FORMATS[t] == "csv",
+                                 source_file=f"{t}.{S.FORMATS[t]}")
+        counts[t] = int(obs.get["rows"])
+    return counts
+
+
+def read_bronze_lake(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
+    """All batches of every bronze table (schema drift merged)."""
+    from lakemart.sources import bronze as B
+    return {t: B.read_bronze(spark, lake.path("bronze", t)) for t in SOURCES}
+
+
 def run(spark: SparkSession, bronze: dict[str, DataFrame], lake: Lake, cfg: SilverConfig = SilverConfig(),
-        write_bronze: bool = True, cluster_fact: bool = True) -> StoredModel:
-    """Run silver and gold over ``bronze`` frames; returns the stored model."""
+        write_bronze: bool = True, cluster_fact: bool = True, quality: bool = True) -> StoredModel:
+    """Run silver and gold over ``bronze`` frames; returns the stored model.
+    With ``quality`` the 28-row DQ result (bronze vs silver) is written to
+    ``<lake>/quality/data_quality_results``."""
     ensure_checkpoint_dir(spark)
     st = StoredModel(spark, lake)
     if write_bronze:
@@ -137,6 +161,9 @@ def run(spark: SparkSession, bronze: dict[str, DataFrame], lake: Lake, cfg: Silv
     if cluster_fact:
         fact = clustered(fact, ["store_key", "product_key"], ["year", "month"])
     _write(fact, lake.path("gold", "fact_sales"), partition_by=("year", "month"))
+    if quality:
+        from lakemart.plans import dq
+        _write(dq.dq_summary(st).coalesce(1), lake.path("quality", "data_quality_results"))
     return st
 
 

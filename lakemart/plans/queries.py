@@ -166,6 +166,12 @@ def _fact(c: Ctx):
     return c.model.fact_sales.drop("sales_key")
 
 
+@register("fact_join_audit")
+def _join_audit(c: Ctx):
+    from lakemart.plans.gold import join_audit
+    return join_audit(c.model.silver_order_items, c.model.fact_sales)
+
+
 @register("star_wide")
 def _star_wide(c: Ctx):
     return star.star(c.model).drop("sales_key")
