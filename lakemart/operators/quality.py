@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakemart.operators.validate import parent_keys
+
 RESULT_COLUMNS = ["layer", "table_name", "check_name", "total_records", "failed_records", "status"]
 
 
@@ -79,10 +81,7 @@ def duplicate_check(layer: str, table: str, df: DataFrame, key: str, name: str |
 def fk_check(layer: str, table: str, child: DataFrame, key: str, parent: DataFrame, name: str,
              parent_key: str | None = None) -> DataFrame:
     """failed = children whose key is missing from the parent (NULL key fails)."""
-    keys = parent.select(F.col(parent_key or key).alias("__pk")).distinct().withColumn("__hit", F.lit(True))
-    j = child.select(key).join(keys, F.col(key) == F.col("__pk"), "left")
-    agg = j.agg(F.count(F.lit(1)).alias("_total"), F.count_if(F.col("__hit").isNull()).alias("_f0"))
-    return _rows(layer, table, agg, [name])
+    return table_checks(layer, table, child.select(key), None, (), [FkCheck(name, key, parent, parent_key)])
 
 
 @dataclass(frozen=True)
@@ -98,8 +97,8 @@ def table_checks(layer: str, table: str, df: DataFrame, key: str | None = None,
                  dup_name: str | None = None) -> DataFrame:
     """Every check of one table in one plan.
 
-    FK existence flags are joined first (left join to the distinct parent
-    keys).  With a duplicate check, rows are then reduced per key by a
+    FK existence flags come first (left join to the distinct parent keys, so
+    repeated parent keys never multiply rows).  With a duplicate check, rows are then reduced per key by a
     partial (map-side) aggregate -- a key holding a third of the table costs
     one row per map task in the shuffle -- and a final global aggregate
     yields total, duplicate excess and all failure counts at once.
@@ -108,9 +107,8 @@ def table_checks(layer: str, table: str, df: DataFrame, key: str | None = None,
     conds = [c.fails for c in scalars]
     names = [c.name for c in scalars]
     for i, fk in enumerate(fks):
-        keys = (fk.parent.select(F.col(fk.parent_key or fk.key).alias(f"__pk{i}")).distinct()
-                .withColumn(f"__hit{i}", F.lit(True)))
-        d = d.join(keys, F.col(fk.key) == F.col(f"__pk{i}"), "left")
+        keys = parent_keys(fk.parent, fk.key, f"__hit{i}", fk.parent_key).withColumnRenamed("__pk", f"__pk{i}")
+        d = d.join(keys, F.col(fk.key) == F.col(f"__pk{i}"), "left").drop(f"__pk{i}")
         conds.append(F.col(f"__hit{i}").isNull())
         names.append(fk.name)
     if key is None:

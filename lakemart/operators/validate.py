@@ -85,19 +85,31 @@ def fk_invalid(child: DataFrame, parent: DataFrame, key: str, parent_key: str |
     return child.join(p, F.col(key) == F.col("__pk"), "left_anti")
 
 
+def parent_keys(parent: DataFrame, key: str, flag: str, parent_key: str | None = None) -> DataFrame:
+    """Distinct parent keys (as ``__pk``) with a TRUE ``flag``: a left join to
+    it never multiplies child rows, whatever the parent's duplicates.  The
+    distinct is a partial (map-side) aggregate."""
+    pk = parent_key or key
+    return parent.select(F.col(pk).alias("__pk")).distinct().withColumn(flag, F.lit(True))
+
+
 def with_parent(child: DataFrame, parent: DataFrame, key: str, flag: str,
                 carry: Sequence[str] = (), parent_key: str | None = None) -> DataFrame:
-    """Left-join a parent that is unique on its key, adding ``flag`` (TRUE when
-    the parent exists, else NULL) and the parent columns ``carry``.
+    """Add ``flag`` (the parent row exists) and the parent columns ``carry``.
 
-    One join both validates the foreign key and brings along the parent
-    attributes a later step needs, instead of a semi join now and an inner
-    join later over the same shuffle keys.
+    Without ``carry`` the parent is reduced to its distinct keys first.  With
+    ``carry`` it is one left join to a parent that is unique on its key (a
+    silver table): the same join validates the foreign key and brings along
+    the parent attributes a later step needs, instead of a semi join now and
+    an inner join later over the same shuffle keys.  NULL keys never match.
     """
     pk = parent_key or key
+    if not carry:
+        p = parent_keys(parent, key, flag, pk)
+        return child.join(p, F.col(key) == F.col("__pk"), "left").drop("__pk")
     p = parent.select(F.col(pk).alias("__pk"), *carry, F.lit(True).alias(flag))
     return child.join(p, F.col(key) == F.col("__pk"), "left").drop("__pk")
 
 
 def missing(flag: str) -> Column:
-    return F.col(flag).isNull()
+    return ~F.coalesce(F.col(flag), F.lit(False))

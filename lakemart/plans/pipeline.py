@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -167,19 +168,60 @@ def run(spark: SparkSession, bronze: dict[str, DataFrame], lake: Lake, cfg: Silv
     return st
 
 
-# ----- materialised fixture lakes, one per (application, test folder) -------------
+# ----- materialised fixture lakes -------------------------------------------------
 
-_LAKES: dict[tuple[str, str], StoredModel] = {}
+_LAKES: dict[str, StoredModel] = {}
+_DONE = "_LAKE_COMPLETE"
+
+
+def _code_hash() -> str:
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    h = hashlib.md5()
+    for d, _, files in sorted(os.walk(root)):
+        for f in sorted(files):
+            if f.endswith(".py"):
+                with open(os.path.join(d, f), "rb") as fh:
+                    h.update(fh.read())
+    return h.hexdigest()[:12]
+
+
+def _fingerprint(spark: SparkSession, sf_dir: str) -> tuple[str, bool]:
+    """Key of a fixture lake: input files + library code.  Reusable across
+    applications only on a local path; elsewhere the application id is added."""
+    parts = [os.path.abspath(sf_dir), _code_hash()]
+    local = "://" not in sf_dir and os.path.isdir(sf_dir)
+    if local:
+        for t in testdata.TPCH_TABLES:
+            st_ = os.stat(os.path.join(sf_dir, f"{t}.parquet"))
+            parts.append(f"{t}:{st_.st_size}:{int(st_.st_mtime)}")
+    else:
+        parts.append(spark.sparkContext.applicationId)
+    return hashlib.md5("|".join(parts).encode()).hexdigest()[:16], local
 
 
 def fixture_lake(spark: SparkSession, sf_dir: str) -> StoredModel:
-    """Build (once per Spark application) the lake of a test-data folder in the
-    shared scratch folder and return its stored model."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    if key not in _LAKES:
-        tag = hashlib.md5("|".join(key).encode()).hexdigest()[:12]
-        lake = Lake(f"{scratch_root(spark)}/{tag}")
-        raw = testdata.raw(spark, sf_dir).as_dict()
-        from lakemart.plans.model import FIXTURE_CONFIG
-        _LAKES[key] = run(spark, raw, lake, FIXTURE_CONFIG)
-    return _LAKES[key]
+    """The lake of a test-data folder, built by the pipeline in the shared
+    scratch folder.  A finished build (marked complete) is reused by later
+    calls and, on a local folder, by later applications; every build writes to
+    its own folder, so concurrent builders never share files."""
+    from lakemart.plans.model import FIXTURE_CONFIG
+    key, reusable = _fingerprint(spark, sf_dir)
+    if key in _LAKES:
+        return _LAKES[key]
+    base = f"{scratch_root(spark)}/{key}"
+    if reusable and os.path.isdir(base):
+        for build in sorted(os.listdir(base)):
+            marker = os.path.join(base, build, _DONE)
+            if os.path.exists(marker):
+                with open(marker) as fh:
+                    rows = {k: int(v) for k, v in (ln.split("=") for ln in fh.read().split())}
+                _LAKES[key] = StoredModel(spark, Lake(os.path.join(base, build)), rows)
+                return _LAKES[key]
+    build = f"{os.getpid()}-{uuid.uuid4().hex[:8]}"
+    lake = Lake(f"{base}/{build}")
+    st = run(spark, testdata.raw(spark, sf_dir).as_dict(), lake, FIXTURE_CONFIG)
+    if reusable:
+        with open(os.path.join(base, build, _DONE), "w") as fh:
+            fh.write("\n".join(f"{k}={v}" for k, v in st.dim_rows.items()))
+    _LAKES[key] = st
+    return st

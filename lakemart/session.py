@@ -52,7 +52,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
     if not d:
-        d = tempfile.mkdtemp(prefix="lakemart-ckpt-")
+        # Unset (local runs and tests only): a stable folder under the local
+        # temp directory.  On a cluster the session names a shared folder.
+        d = os.path.join(tempfile.gettempdir(), "lakemart-checkpoints")
+        os.makedirs(d, exist_ok=True)
         spark.conf.set("spark.checkpoint.dir", d)
     try:
         spark.sparkContext.setCheckpointDir(d)

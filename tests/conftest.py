@@ -15,7 +15,8 @@ SF001 = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     s = build_session("local[4]", "lakemart-tests", shuffle_partitions=8,
-                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="lakemart-test-ckpt-")})
+                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="lakemart-test-ckpt-"),
+                             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="lakemart-test-wh-")})
     yield s
     s.stop()
 

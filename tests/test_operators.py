@@ -183,3 +183,11 @@ def test_growth_plain_vs_gap_aware(spark):
     assert gap[3] == (None, None)     # calendar previous month (February) is missing
     assert gap[5] == (0.0, None)      # zero previous month -> NULL, no error
     assert plain[1] is None
+
+
+def test_existence_flag_with_same_key_name(spark):
+    child = spark.createDataFrame([("a",), ("b",), (None,)], "customer_id string")
+    parent = spark.createDataFrame([("a",), ("a",)], "customer_id string")
+    d = V.with_parent(child, parent, "customer_id", "f")
+    got = {r.customer_id: r.miss for r in d.select("customer_id", V.missing("f").alias("miss")).collect()}
+    assert got == {"a": False, "b": True, None: True} and d.count() == 3
