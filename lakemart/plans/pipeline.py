@@ -219,7 +219,8 @@ def fixture_lake(spark: SparkSession, sf_dir: str) -> StoredModel:
                 return _LAKES[key]
     build = f"{os.getpid()}-{uuid.uuid4().hex[:8]}"
     lake = Lake(f"{base}/{build}")
-    st = run(spark, testdata.raw(spark, sf_dir).as_dict(), lake, FIXTURE_CONFIG)
+    raw = testdata.raw(spark, sf_dir, staging_dir=lake.path("work", "orders_base")).as_dict()
+    st = run(spark, raw, lake, FIXTURE_CONFIG)
     if reusable:
         with open(os.path.join(base, build, _DONE), "w") as fh:
             fh.write("\n".join(f"{k}={v}" for k, v in st.dim_rows.items()))

@@ -235,10 +235,15 @@ def payments(t: dict[str, DataFrame], base: DataFrame | None = None) -> DataFram
     return _with_duplicates(out, _mod(k, 100, 57)).drop("_k")
 
 
-def raw(spark: SparkSession, sf_dir: str) -> RawTables:
-    """The six raw retail tables (with ``seq``) as lazy DataFrames."""
+def raw(spark: SparkSession, sf_dir: str, staging_dir: str | None = None) -> RawTables:
+    """The six raw retail tables (with ``seq``) as lazy DataFrames.  With
+    ``staging_dir`` the clean-orders base (which rolls up all line items and
+    feeds both orders and payments) is written there once and read back."""
     t = read_tpch(spark, sf_dir)
     base = _orders_base(t)
+    if staging_dir:
+        base.write.mode("overwrite").parquet(staging_dir)
+        base = spark.read.parquet(staging_dir)
     return RawTables(
         customers=customers(t), products=products(t), stores=stores(t),
         orders=orders(t, base), order_items=order_items(t), payments=payments(t, base),
