@@ -47,8 +47,22 @@ def _deduped(bronze: DataFrame, table: str, cfg: SilverConfig) -> DataFrame:
     return dedupe_latest(bronze, S.KEYS[table], cfg.order_cols)
 
 
-def _to_date(col: str):
-    return F.col(col).cast("date")
+def _to_date(df: DataFrame, col: str):
+    """DATE column as is; text parsed with ``try_to_date`` (NULL, not an ANSI
+    error, for dirty values such as 'xx')."""
+    dtype = df.schema[col].dataType.typeName()
+    if dtype == "date":
+        return F.col(col)
+    if dtype in ("timestamp", "timestamp_ntz"):
+        return F.col(col).cast("date")
+    return F.try_to_date(F.col(col).cast("string"))
+
+
+def _to_timestamp(df: DataFrame, col: str):
+    dtype = df.schema[col].dataType.typeName()
+    if dtype in ("timestamp", "timestamp_ntz"):
+        return F.col(col)
+    return F.try_to_timestamp(F.col(col).cast("string"))
 
 
 def customers(bronze: DataFrame, cfg: SilverConfig = SilverConfig()) -> DataFrame:
@@ -57,8 +71,8 @@ def customers(bronze: DataFrame, cfg: SilverConfig = SilverConfig()) -> DataFram
     return d.withColumns({
         "city": title_trim_or("city", blank_as_null=cfg.blank_as_null),
         "state": title_trim("state"),
-        "date_of_birth": _to_date("date_of_birth"),
-        "signup_date": _to_date("signup_date"),
+        "date_of_birth": _to_date(d, "date_of_birth"),
+        "signup_date": _to_date(d, "signup_date"),
         "customer_status": in_domain_or("customer_status", S.CUSTOMER_STATUSES),
         V.REASON: F.lit(None).cast("string"),
     })
@@ -71,7 +85,7 @@ def products(bronze: DataFrame, cfg: SilverConfig = SilverConfig()) -> DataFrame
     return c.withColumns({
         "category_std": title_trim_or("category", blank_as_null=cfg.blank_as_null),
         "subcategory_std": title_trim("subcategory"),
-        "launch_date_std": _to_date("launch_date"),
+        "launch_date_std": _to_date(d, "launch_date"),
         "product_status_std": in_domain_or("product_status", S.PRODUCT_STATUSES),
     })
 
@@ -81,7 +95,7 @@ def stores(bronze: DataFrame, cfg: SilverConfig = SilverConfig()) -> DataFrame:
     return d.withColumns({
         "city": title_trim("city"),
         "state": title_trim("state"),
-        "opening_date": _to_date("opening_date"),
+        "opening_date": _to_date(d, "opening_date"),
         V.REASON: F.lit(None).cast("string"),
     })
 
@@ -96,8 +110,8 @@ def orders(bronze: DataFrame, silver_customers: DataFrame, cfg: SilverConfig = S
         rules.append(V.Rule("invalid_store_fk", V.missing("_has_store")))
     c = V.classify(d, rules).drop("_has_customer", "_has_store")
     return c.withColumns({
-        "order_date_std": _to_date("order_date"),
-        "order_timestamp_std": F.col("order_timestamp").cast("timestamp_ntz"),
+        "order_date_std": _to_date(d, "order_date"),
+        "order_timestamp_std": _to_timestamp(d, "order_timestamp"),
         "order_status_std": in_domain_or("order_status", S.ORDER_STATUSES),
         "total_amount_std": F.coalesce(F.col("total_amount"), F.lit(0)),
     })
@@ -128,7 +142,7 @@ def payments(bronze: DataFrame, silver_orders: DataFrame, cfg: SilverConfig = Si
     ]
     c = V.classify(d, rules, V.drop_cols_for(cfg.null_policy, "payment_amount")).drop("_has_order")
     return c.withColumns({
-        "payment_date_std": _to_date("payment_date"),
+        "payment_date_std": _to_date(d, "payment_date"),
         "transaction_reference_std": F.coalesce(F.col("transaction_reference"), F.lit(S.MISSING_REFERENCE)),
         "payment_status_std": in_domain_or("payment_status", S.PAYMENT_STATUSES),
     })

@@ -191,3 +191,15 @@ def test_existence_flag_with_same_key_name(spark):
     d = V.with_parent(child, parent, "customer_id", "f")
     got = {r.customer_id: r.miss for r in d.select("customer_id", V.missing("f").alias("miss")).collect()}
     assert got == {"a": False, "b": True, None: True} and d.count() == 3
+
+
+def test_silver_dates_from_dirty_text(spark):
+    from lakemart.plans import silver
+    from lakemart.plans.silver import SilverConfig
+    rows = [("C1", "A", "B", "M", "1990-05-01", "delhi", "x", "India", "xx", "S", "e", "Active", 0)]
+    cols = ("customer_id string, first_name string, last_name string, gender string, date_of_birth string, "
+            "city string, state string, country string, signup_date string, customer_segment string, "
+            "email string, customer_status string, seq int")
+    c = silver.customers(spark.createDataFrame(rows, cols), SilverConfig(order_cols=("seq",)))
+    r = silver.silver_view(c, "customers").first()
+    assert r.date_of_birth == dt.date(1990, 5, 1) and r.signup_date is None and r.city == "Delhi"
