@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.functions import dates, money
-from lakemart.operators.joins import lookup, maybe_broadcast
+from lakemart.operators.joins import lookup
 from lakemart.operators.keys import hash_key, with_dense_key
 
 DIM_COLUMNS = {
@@ -52,26 +52,33 @@ def dim_date(silver_orders: DataFrame, date_col: str = "order_date") -> DataFram
     return days.select("full_date", *[c.alias(n) for n, c in dates.calendar_columns("full_date").items()])
 
 
-def fact_sales(items: DataFrame, dim_c: DataFrame, dim_p: DataFrame, dim_s: DataFrame, dim_d: DataFrame,
-               dim_rows: dict[str, int] | None = None, key_mode: str = "hash") -> DataFrame:
-    """Order-item grain fact.
-
-    ``items`` are valid silver items that already carry their order's
-    customer_id, store_id, order_date, order_status and order_channel (see
-    ``silver.enriched_items``), so the only large-large join (items x orders)
-    happened once, during validation.  The four dimension joins are lookups of
-    key pairs; a dimension is broadcast only behind its measured row count
-    (``dim_rows``), else the planner/AQE chooses.  Inner joins, as in the
-    star: an item whose key has no dimension row is lost (see ``join_audit``).
-    """
+def order_keys(silver_orders: DataFrame, dim_c: DataFrame, dim_s: DataFrame, dim_d: DataFrame,
+               dim_rows: dict[str, int] | None = None) -> DataFrame:
+    """Surrogate keys of every silver order, looked up at order grain (several
+    times fewer rows than items): customer_key, store_key, date_key, plus the
+    degenerate dimensions.  Left lookups: an order whose store or customer has
+    no dimension row keeps a NULL key (the fact drops such rows, as the star's
+    inner joins do; ``join_audit`` lists them).  Unique on order_id."""
     rows = dim_rows or {}
-    f = lookup(items, dim_c, "customer_id", ["customer_key"], dim_rows=rows.get("dim_customer"))
-    f = lookup(f, dim_s, "store_id", ["store_key"], dim_rows=rows.get("dim_store"))
-    f = lookup(f, dim_p, "product_id", ["product_key"], dim_rows=rows.get("dim_product"))
-    f = f.withColumn("date_key", dates.date_key("order_date"))
-    f = f.join(maybe_broadcast(dim_d.select("date_key"), rows.get("dim_date")), "date_key")
-    gross = money.gross_sales("quantity", "unit_price")
-    f = f.withColumn("gross_sales", gross)
+    o = silver_orders.select("order_id", "customer_id", "store_id", "order_date", "order_status", "order_channel")
+    o = lookup(o, dim_c, "customer_id", ["customer_key"], how="left", dim_rows=rows.get("dim_customer"))
+    o = lookup(o, dim_s, "store_id", ["store_key"], how="left", dim_rows=rows.get("dim_store"))
+    # dim_date spans min..max order date: bounded by the calendar, always broadcast
+    days = F.broadcast(dim_d.select(F.col("date_key").alias("_dk")))
+    o = o.withColumn("_k", dates.date_key("order_date"))
+    o = o.join(days, F.col("_k") == F.col("_dk"), "left")
+    return o.select("order_id", "customer_key", "store_key", F.col("_dk").alias("date_key"),
+                    "order_status", "order_channel")
+
+
+def fact_sales(items: DataFrame, key_mode: str = "hash") -> DataFrame:
+    """Order-item grain fact from valid items that already carry all their keys
+    (``silver.enriched_items`` over a classification whose parents were
+    ``order_keys`` and ``dim_product``): no join at item grain.  Rows with a
+    missing key are dropped, as the star's inner joins would."""
+    f = items.filter(F.col("customer_key").isNotNull() & F.col("store_key").isNotNull()
+                     & F.col("product_key").isNotNull() & F.col("date_key").isNotNull())
+    f = f.withColumn("gross_sales", money.gross_sales("quantity", "unit_price"))
     f = f.withColumn("discount_amount", money.discount_amount("gross_sales"))
     f = f.withColumn("net_sales", money.net_sales("gross_sales", "discount_amount"))
     f = f.withColumns({

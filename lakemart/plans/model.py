@@ -47,9 +47,14 @@ class Model:
     def orders_c(self) -> DataFrame:
         return silver.orders(self.bronze["orders"], self.silver_customers, self.cfg, self.silver_stores)
 
+    @cached_property
+    def order_keys(self) -> DataFrame:
+        return gold.order_keys(self.silver_orders, self.dim_customer, self.dim_store, self.dim_date, self.dim_rows)
+
     @cached_property
     def order_items_c(self) -> DataFrame:
-        return silver.order_items(self.bronze["order_items"], self.silver_orders, self.silver_products, self.cfg)
+        return silver.order_items(self.bronze["order_items"], self.order_keys, self.dim_product, self.cfg,
+                                  silver.ORDER_CARRY, silver.PRODUCT_CARRY)
 
     @cached_property
     def payments_c(self) -> DataFrame:
@@ -96,5 +101,4 @@ class Model:
 
     @cached_property
     def fact_sales(self) -> DataFrame:
-        return gold.fact_sales(self.items_enriched, self.dim_customer, self.dim_product,
-                               self.dim_store, self.dim_date, self.dim_rows)
+        return gold.fact_sales(self.items_enriched)

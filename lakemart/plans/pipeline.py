@@ -144,12 +144,8 @@ def run(spark: SparkSession, bronze: dict[str, DataFrame], lake: Lake, cfg: Silv
     land("stores", silver.stores(bronze["stores"], cfg), False)
     land("products", silver.products(bronze["products"], cfg), True)
     land("orders", silver.orders(bronze["orders"], st.silver_customers, cfg, st.silver_stores), True)
-    items_c = stage("order_items", silver.order_items(bronze["order_items"], st.silver_orders, st.silver_products, cfg))
-    _write(silver.rejected_view(items_c, bcols["order_items"]), lake.path("quarantine", "order_items"))
-    _write(silver.silver_view(items_c, "order_items"), lake.path("silver", "order_items"))
-    land("payments", silver.payments(bronze["payments"], st.silver_orders, cfg), True)
 
-    # gold: dimensions first (counted while written), then the fact
+    # gold dimensions (counted while written) before the item-grain work
     rows = {
         "dim_customer": _write(gold.dim_customer(st.silver_customers), lake.path("gold", "dim_customer"), count=True),
         "dim_product": _write(gold.dim_product(st.silver_products), lake.path("gold", "dim_product"), count=True),
@@ -157,8 +153,18 @@ def run(spark: SparkSession, bronze: dict[str, DataFrame], lake: Lake, cfg: Silv
         "dim_date": _write(gold.dim_date(st.silver_orders), lake.path("gold", "dim_date"), count=True),
     }
     st.dim_rows = rows
-    fact = gold.fact_sales(silver.enriched_items(items_c), st.dim_customer, st.dim_product, st.dim_store,
-                           st.dim_date, dim_rows=rows)
+    order_keys = stage("order_keys", gold.order_keys(st.silver_orders, st.dim_customer, st.dim_store,
+                                                     st.dim_date, rows))
+
+    # items: one classification (validation joins carry every fact key),
+    # staged once, feeding silver, quarantine and the fact
+    items_c = stage("order_items", silver.order_items(bronze["order_items"], order_keys, st.dim_product, cfg,
+                                                      silver.ORDER_CARRY, silver.PRODUCT_CARRY))
+    _write(silver.rejected_view(items_c, bcols["order_items"]), lake.path("quarantine", "order_items"))
+    _write(silver.silver_view(items_c, "order_items"), lake.path("silver", "order_items"))
+    land("payments", silver.payments(bronze["payments"], st.silver_orders, cfg), True)
+
+    fact = gold.fact_sales(silver.enriched_items(items_c))
     if cluster_fact:
         fact = clustered(fact, ["store_key", "product_key"], ["year", "month"])
     _write(fact, lake.path("gold", "fact_sales"), partition_by=("year", "month"))

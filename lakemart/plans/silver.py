@@ -31,8 +31,10 @@ SILVER_COLUMNS = {
     "payments": ["payment_id", "order_id", "payment_date", "payment_method", "payment_status",
                  "payment_amount", "transaction_reference"],
 }
-# Order attributes carried onto each valid item for the fact build.
-ORDER_CARRY = ["customer_id", "store_id", "order_date", "order_status", "order_channel"]
+# Order-grain attributes carried onto each valid item for the fact build
+# (surrogate keys looked up once per order, degenerate dimensions).
+ORDER_CARRY = ["customer_key", "store_key", "date_key", "order_status", "order_channel"]
+PRODUCT_CARRY = ["product_key"]
 
 
 @dataclass(frozen=True)
@@ -117,16 +119,23 @@ def orders(bronze: DataFrame, silver_customers: DataFrame, cfg: SilverConfig = S
     })
 
 
-def order_items(bronze: DataFrame, silver_orders: DataFrame, silver_products: DataFrame,
-                cfg: SilverConfig = SilverConfig()) -> DataFrame:
+def order_items(bronze: DataFrame, orders_parent: DataFrame, products_parent: DataFrame,
+                cfg: SilverConfig = SilverConfig(), order_carry=(), product_carry=()) -> DataFrame:
     """Ordered rules: quantity -> order FK -> product FK; the first failure wins.
-    Parents are the *final* silver tables, so children of rejected parents are
-    quarantined too.  Valid rows carry the order attributes in ``ORDER_CARRY``
-    (prefixed ``o_``) so the fact needs no second join to orders."""
+    Parents are the *final* silver tables (or frames with exactly their keys),
+    so children of rejected parents are quarantined too.
+
+    The two validation joins also carry parent columns (prefixed ``o_`` /
+    ``p_``): with ``gold.order_keys`` as the order parent and ``dim_product``
+    as the product parent, every valid item leaves here with all of its fact
+    keys, so the fact needs no further join at item grain.  Carrying parents
+    must be unique on their key (they are: silver tables and dimensions).
+    """
     d = _deduped(bronze, "order_items", cfg)
-    carry_src = silver_orders.select("order_id", *[F.col(c).alias(f"o_{c}") for c in ORDER_CARRY])
-    d = V.with_parent(d, carry_src, "order_id", "_has_order", carry=[f"o_{c}" for c in ORDER_CARRY])
-    d = V.with_parent(d, silver_products, "product_id", "_has_product")
+    oc = orders_parent.select("order_id", *[F.col(c).alias(f"o_{c}") for c in order_carry])
+    d = V.with_parent(d, oc, "order_id", "_has_order", carry=[f"o_{c}" for c in order_carry])
+    pc = products_parent.select("product_id", *[F.col(c).alias(f"p_{c}") for c in product_carry])
+    d = V.with_parent(d, pc, "product_id", "_has_product", carry=[f"p_{c}" for c in product_carry])
     rules = V.positive("quantity", "negative_quantity", cfg.null_policy) + [
         V.Rule("invalid_order_fk", V.missing("_has_order")),
         V.Rule("invalid_product_fk", V.missing("_has_product")),
@@ -162,10 +171,11 @@ def rejected_view(classified: DataFrame, bronze_columns: list[str]) -> DataFrame
     return V.rejected_rows(classified).select(*bronze_columns, V.REASON)
 
 
-def enriched_items(classified_items: DataFrame) -> DataFrame:
-    """Valid items with the carried order attributes (input of the fact)."""
+def enriched_items(classified_items: DataFrame, order_carry=ORDER_CARRY, product_carry=PRODUCT_CARRY) -> DataFrame:
+    """Valid items with the carried order and product columns (fact input)."""
     v = V.valid_rows(classified_items)
-    return v.select(*SILVER_COLUMNS["order_items"], *[F.col(f"o_{c}").alias(c) for c in ORDER_CARRY])
+    return v.select(*SILVER_COLUMNS["order_items"], *[F.col(f"o_{c}").alias(c) for c in order_carry],
+                    *[F.col(f"p_{c}").alias(c) for c in product_carry])
 
 
 def rejection_summary(rejected: dict[str, DataFrame]) -> DataFrame:
