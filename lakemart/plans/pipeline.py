@@ -67,9 +67,16 @@ class StoredModel:
     spark: SparkSession
     lake: Lake
     dim_rows: dict[str, int] = field(default_factory=dict)
+    _frames: dict[tuple[str, str], DataFrame] = field(default_factory=dict, repr=False)
 
     def _read(self, layer: str, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.lake.path(layer, table))
+        """One resolved DataFrame per stored table (file listing and footer
+        schema are read once, not on every use).  Tables are written once per
+        run, before their first read."""
+        key = (layer, table)
+        if key not in self._frames:
+            self._frames[key] = self.spark.read.parquet(self.lake.path(layer, table))
+        return self._frames[key]
 
     @property
     def bronze(self) -> dict[str, DataFrame]:
