@@ -64,3 +64,14 @@ SQL = {
 
 def run_sql(spark: SparkSession, name: str, database: str | None = None):
     return spark.sql(SQL[name].format(db=f"{database}." if database else ""))
+
+
+def run_sql_on(spark: SparkSession, name: str, model) -> "DataFrame":
+    """The same SQL text over a model's DataFrames, passed as named
+    parameters of ``spark.sql`` (no catalog, no session-wide views)."""
+    import re
+    text = SQL[name].replace("{db}", "")
+    names = sorted(set(re.findall(r"\b(fact_sales|dim_\w+|silver_\w+)\b", text)))
+    for n in names:
+        text = re.sub(rf"\b{n}\b", "{" + n + "}", text)
+    return spark.sql(text, **{n: getattr(model, n) for n in names})

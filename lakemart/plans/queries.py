@@ -211,6 +211,13 @@ register("monthly_net_sales")(lambda c: metrics.monthly_net_sales(c.model))
 register("unknown_category_share")(lambda c: metrics.unknown_category_share(c.model))
 
 
+# ----- the same questions as SQL text (compiled by Catalyst to the same plans) ----
+
+for _n in ("total_revenue", "revenue_by_category", "monthly_net_sales", "cancellation_rate"):
+    register(f"sql_{_n}")(lambda c, n=_n: __import__("lakemart.plans.catalog", fromlist=["x"]).run_sql_on(
+        c.spark, n, c.model))
+
+
 # ----- BI measures -------------------------------------------------------------
 
 def _star(c: Ctx, *dims: str):
