@@ -42,25 +42,35 @@ def build_session(master: str = "local[8]", app: str = "lakemart",
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None under Spark Connect (no driver-side context)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it; only when it is unset (local tests) do we create one
-    under the system temp folder.
+    A cluster names it; only when it is unset (local tests) do we use a folder
+    under the local temp directory.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
+    sc = _context(spark)
+    if not d and sc is not None:
+        d = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if not d:
         # Unset (local runs and tests only): a stable folder under the local
         # temp directory.  On a cluster the session names a shared folder.
         d = os.path.join(tempfile.gettempdir(), "lakemart-checkpoints")
         os.makedirs(d, exist_ok=True)
         spark.conf.set("spark.checkpoint.dir", d)
-    try:
-        spark.sparkContext.setCheckpointDir(d)
-    except Exception:  # Spark Connect: no SparkContext
-        pass
+    if sc is not None:
+        try:
+            sc.setCheckpointDir(d)
+        except Exception:  # noqa: BLE001
+            pass
     return d
 
 
