@@ -18,7 +18,7 @@ from lakemart.functions.ratios import money_sum
 from lakemart.operators import validate as V
 from lakemart.operators.dedupe import dedupe_latest
 from lakemart.operators.layout import z_value
-from lakemart.plans import dq, metrics, star, timeintel
+from lakemart.plans import catalog, dq, metrics, star, timeintel
 from lakemart.sources import bronze, publish, testdata
 
 # Fixed parameters of the registered queries.
@@ -214,8 +214,7 @@ register("unknown_category_share")(lambda c: metrics.unknown_category_share(c.mo
 # ----- the same questions as SQL text (compiled by Catalyst to the same plans) ----
 
 for _n in ("total_revenue", "revenue_by_category", "monthly_net_sales", "cancellation_rate"):
-    register(f"sql_{_n}")(lambda c, n=_n: __import__("lakemart.plans.catalog", fromlist=["x"]).run_sql_on(
-        c.spark, n, c.model))
+    register(f"sql_{_n}")(lambda c, n=_n: catalog.run_sql_on(c.spark, n, c.model))
 
 
 # ----- BI measures -------------------------------------------------------------

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from lakemart.plans import dq, metrics
 from lakemart.plans.model import Model
+from lakemart.plans.silver import rejection_summary
 from lakemart.plans.pipeline import fixture_lake
 from lakemart.operators.dedupe import dedupe_latest
 from lakemart.sources import schemas as S
@@ -22,8 +23,7 @@ def test_expected_counts_sf001(lake):
     assert silver == {"customers": 1500, "products": 1980, "stores": 100, "orders": 14850,
                       "order_items": 57949, "payments": 14447}
     rej = {(r.table_name, r.rejected_reason): r.rejected_rows for r in
-           __import__("lakemart.plans.silver", fromlist=["x"]).rejection_summary(
-               {t: lake.rejected(t) for t in ("products", "orders", "order_items", "payments")}).collect()}
+           rejection_summary({t: lake.rejected(t) for t in ("products", "orders", "order_items", "payments")}).collect()}
     assert rej == {("products", "invalid_selling_price"): 20, ("orders", "invalid_customer_fk"): 150,
                    ("order_items", "negative_quantity"): 293, ("order_items", "invalid_order_fk"): 594,
                    ("order_items", "invalid_product_fk"): 1164, ("payments", "invalid_payment_amount"): 147,
