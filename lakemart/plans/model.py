@@ -1,9 +1,9 @@
 """Lazy layer model: bronze frames in, every silver/gold frame out on demand.
 
-``Model`` is what queries and tests use.  Over the test fixture it builds the
-whole chain as one lazy plan per query; over written tables (the pipeline)
-it reads each layer back from storage so later layers never recompute the
-earlier ones.
+``Model`` builds the whole chain as one lazy plan (no writes); it exposes the
+same attributes as ``pipeline.StoredModel`` (the written lake), so every
+metric, measure and DQ function runs on either, and tests check that both
+give the same answers.
 """
 
 from __future__ import annotations
