@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import os
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -120,19 +121,34 @@ def read_bronze_lake(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     return {t: B.read_bronze(spark, lake.path("bronze", t)) for t in SOURCES}
 
 
+def _parallel(*steps):
+    """Run independent steps as concurrent Spark jobs (one driver thread each)
+    and return their results in order; the first failure is re-raised."""
+    if len(steps) == 1:
+        return [steps[0]()]
+    with ThreadPoolExecutor(max_workers=len(steps)) as ex:
+        futures = [ex.submit(f) for f in steps]
+        return [f.result() for f in futures]
+
+
 def run(spark: SparkSession, bronze: dict[str, DataFrame], lake: Lake, cfg: SilverConfig = SilverConfig(),
         write_bronze: bool = True, cluster_fact: bool = True, quality: bool = True) -> StoredModel:
     """Run silver and gold over ``bronze`` frames; returns the stored model.
     With ``quality`` the 28-row DQ result (bronze vs silver) is written to
-    ``<lake>/quality/data_quality_results``."""
+    ``<lake>/quality/data_quality_results``.
+
+    Steps without a dependency between them (the six landings; customers,
+    stores and products; the four dimensions; items and payments; the fact
+    and the DQ result) run as concurrent jobs, so small tables do not leave
+    the cluster idle while a large one finishes."""
     ensure_checkpoint_dir(spark)
     st = StoredModel(spark, lake)
     if write_bronze:
         # Land each source as several files hashed on its business key (as
         # landed sources are), so bronze scans split across tasks.
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        for t in SOURCES:
-            _write(bronze[t].repartition(n, S.KEYS[t]), lake.path("bronze", t))
+        _parallel(*[lambda t=t: _write(bronze[t].repartition(n, S.KEYS[t]), lake.path("bronze", t))
+                    for t in SOURCES])
         bronze = st.bronze
     bcols = {t: bronze[t].columns for t in SOURCES}
 
@@ -141,43 +157,54 @@ def run(spark: SparkSession, bronze: dict[str, DataFrame], lake: Lake, cfg: Silv
         _write(df, lake.path("work", table))
         return spark.read.parquet(lake.path("work", table))
 
-    def land(table: str, classified: DataFrame, reject: bool) -> None:
+    def land(table: str, build, reject: bool) -> DataFrame:
+        classified = build()
         if reject:
             classified = stage(table, classified)  # one evaluation feeds both outputs
-            _write(silver.rejected_view(classified, bcols[table]), lake.path("quarantine", table))
-        _write(silver.silver_view(classified, table), lake.path("silver", table))
+            _parallel(lambda: _write(silver.rejected_view(classified, bcols[table]), lake.path("quarantine", table)),
+                      lambda: _write(silver.silver_view(classified, table), lake.path("silver", table)))
+        else:
+            _write(silver.silver_view(classified, table), lake.path("silver", table))
+        return classified
 
-    land("customers", silver.customers(bronze["customers"], cfg), False)
-    land("stores", silver.stores(bronze["stores"], cfg), False)
-    land("products", silver.products(bronze["products"], cfg), True)
-    land("orders", silver.orders(bronze["orders"], st.silver_customers, cfg, st.silver_stores), True)
+    _parallel(lambda: land("customers", lambda: silver.customers(bronze["customers"], cfg), False),
+              lambda: land("stores", lambda: silver.stores(bronze["stores"], cfg), False),
+              lambda: land("products", lambda: silver.products(bronze["products"], cfg), True))
+    land("orders", lambda: silver.orders(bronze["orders"], st.silver_customers, cfg, st.silver_stores), True)
 
     # gold dimensions (counted while written) before the item-grain work
-    rows = {
-        "dim_customer": _write(gold.dim_customer(st.silver_customers), lake.path("gold", "dim_customer"), count=True),
-        "dim_product": _write(gold.dim_product(st.silver_products), lake.path("gold", "dim_product"), count=True),
-        "dim_store": _write(gold.dim_store(st.silver_stores), lake.path("gold", "dim_store"), count=True),
-        "dim_date": _write(gold.dim_date(st.silver_orders), lake.path("gold", "dim_date"), count=True),
+    dims = {
+        "dim_customer": lambda: gold.dim_customer(st.silver_customers),
+        "dim_product": lambda: gold.dim_product(st.silver_products),
+        "dim_store": lambda: gold.dim_store(st.silver_stores),
+        "dim_date": lambda: gold.dim_date(st.silver_orders),
     }
+    counts = _parallel(*[lambda n=n, f=f: _write(f(), lake.path("gold", n), count=True) for n, f in dims.items()])
+    rows = dict(zip(dims, counts))
     st.dim_rows = rows
     order_keys = stage("order_keys", gold.order_keys(st.silver_orders, st.dim_customer, st.dim_store,
                                                      st.dim_date, rows))
 
     # items: one classification (validation joins carry every fact key),
     # staged once, feeding silver, quarantine and the fact
-    items_c = stage("order_items", silver.order_items(bronze["order_items"], order_keys, st.dim_product, cfg,
-                                                      silver.ORDER_CARRY, silver.PRODUCT_CARRY))
-    _write(silver.rejected_view(items_c, bcols["order_items"]), lake.path("quarantine", "order_items"))
-    _write(silver.silver_view(items_c, "order_items"), lake.path("silver", "order_items"))
-    land("payments", silver.payments(bronze["payments"], st.silver_orders, cfg), True)
-
-    fact = gold.fact_sales(silver.enriched_items(items_c))
-    if cluster_fact:
-        fact = clustered(fact, ["store_key", "product_key"], ["year", "month"])
-    _write(fact, lake.path("gold", "fact_sales"), partition_by=("year", "month"))
-    if quality:
+    def items() -> DataFrame:
+        return land("order_items", lambda: silver.order_items(bronze["order_items"], order_keys, st.dim_product,
+                                                              cfg, silver.ORDER_CARRY, silver.PRODUCT_CARRY), True)
+
+    items_c, _ = _parallel(items, lambda: land("payments", lambda: silver.payments(bronze["payments"],
+                                                                                   st.silver_orders, cfg), True))
+
+    def fact() -> None:
+        f = gold.fact_sales(silver.enriched_items(items_c))
+        if cluster_fact:
+            f = clustered(f, ["store_key", "product_key"], ["year", "month"])
+        _write(f, lake.path("gold", "fact_sales"), partition_by=("year", "month"))
+
+    def quality_results() -> None:
         from lakemart.plans import dq
         _write(dq.dq_summary(st).coalesce(1), lake.path("quality", "data_quality_results"))
+
+    _parallel(fact, quality_results) if quality else fact()
     return st
 
 
