@@ -21,7 +21,15 @@ def show(title: str, df) -> None:
     plan = plan.split("+- == Initial Plan ==")[0]
     plan = re.sub(r"#\d+L?", "", plan)
     plan = re.sub(r"file:[^\]]*", "…", plan)
-    lines = [ln[:160] for ln in plan.splitlines()]
+    lines = []
+    for ln in plan.splitlines():
+        short = ln[:150]
+        if "FileScan" in ln:
+            for tag in ("PartitionFilters", "PushedFilters"):
+                m = re.search(tag + r": \[[^\]]*\]", ln)
+                if m and m.group(0) != f"{tag}: []":
+                    short += "\n" + " " * (len(ln) - len(ln.lstrip()) + 6) + m.group(0)[:150]
+        lines.append(short)
     print(f"\n### {title}\n\n```\n" + "\n".join(lines) + "\n```")
 
 
