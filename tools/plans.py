@@ -20,7 +20,7 @@ def show(title: str, df) -> None:
     plan = df._jdf.queryExecution().executedPlan().toString()
     plan = plan.split("+- == Initial Plan ==")[0]
     plan = re.sub(r"#\d+L?", "", plan)
-    plan = re.sub(r"file:[^\]]*", "…", plan)
+    plan = re.sub(r"file:[^\],]*", "…", plan)
     lines = []
     for ln in plan.splitlines():
         short = ln[:150]
