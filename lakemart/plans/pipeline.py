@@ -248,7 +248,10 @@ def fixture_lake(spark: SparkSession, sf_dir: str) -> StoredModel:
     key, reusable = _fingerprint(spark, sf_dir)
     if key in _LAKES:
         return _LAKES[key]
-    base = f"{scratch_root(spark)}/{key}"
+    root = scratch_root(spark)
+    # markers are plain files: cross-application reuse only on a local root
+    reusable = reusable and "://" not in root
+    base = f"{root}/{key}"
     if reusable and os.path.isdir(base):
         for build in sorted(os.listdir(base)):
             marker = os.path.join(base, build, _DONE)
