@@ -12,14 +12,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakemart.functions.ratios import money_sum, pct_of_counts, safe_div
+from lakemart.functions.ratios import growth_pct, money_per, money_sum, pct_of_counts, safe_div
 
 NET, PROFIT = "net_sales", "profit"
 
 
 def _growth_pct(cur, prev):
-    """round(100 * (cur - prev) / prev, 2) with a NULL on a zero/NULL prev."""
-    return F.round(F.try_divide(F.lit(100.0).cast("double") * (cur - prev).cast("double"), prev.cast("double")), 2)
+    """round(100 * (cur - prev) / prev, 2), exact HALF_UP; NULL on a zero/NULL prev."""
+    return growth_pct(cur, prev)
 
 
 def _month_names(m) -> DataFrame:
@@ -45,7 +45,7 @@ def monthly_growth(m) -> DataFrame:
 
 def avg_order_value(m) -> DataFrame:
     f = m.fact_sales
-    return f.agg(F.round(safe_div(F.sum(NET), F.count_distinct("order_id")), 2).alias("avg_order_value"))
+    return f.agg(money_per(F.sum(NET), F.count_distinct("order_id")).alias("avg_order_value"))
 
 
 def top_months(m, n: int = 10) -> DataFrame:
@@ -133,7 +133,7 @@ def repeat_customer_rate(m) -> DataFrame:
 
 def avg_customer_value(m) -> DataFrame:
     f = m.fact_sales
-    return f.agg(F.round(safe_div(F.sum(NET), F.count_distinct("customer_key")), 2).alias("avg_customer_value"))
+    return f.agg(money_per(F.sum(NET), F.count_distinct("customer_key")).alias("avg_customer_value"))
 
 
 def _status_rate(m, status: str, name: str) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemart.functions.dates import month_index
+from lakemart.functions.ratios import growth_pct
 
 
 def monthly_totals(fact: DataFrame, measure: str = "net_sales") -> DataFrame:
@@ -25,7 +26,7 @@ def _offset(monthly: DataFrame, months: int):
 
 
 def _growth(cur, prev):
-    return F.round(F.try_divide(F.lit(100.0).cast("double") * (cur - prev).cast("double"), prev.cast("double")), 2)
+    return growth_pct(cur, prev)
 
 
 def mom_growth(fact: DataFrame) -> DataFrame:

@@ -34,8 +34,23 @@ def pct_counts(num: str, den: str) -> str:
             f"/ (2 * CAST({den} AS BIGINT))) AS BIGINT) AS DOUBLE) / 100.0 END")
 
 
+def units(x: str) -> str:
+    """Exact integer count of 10^-6 units of a money value."""
+    return f"CAST(CAST({x} AS DECIMAL(38,6)) * 1000000 AS HUGEINT)"
+
+
+def round_ratio(num: str, den: str) -> str:
+    """HALF_UP(num / den, 2) of exact integers, as DOUBLE (NULL on den 0/NULL)."""
+    return (f"CASE WHEN ({den}) <> 0 THEN CAST(sign({num}) * sign({den}) AS DOUBLE) * "
+            f"CAST((2 * 100 * abs({num}) + abs({den})) // (2 * abs({den})) AS DOUBLE) / 100.0 END")
+
+
 def growth(cur: str, prev: str) -> str:
-    return f"ROUND(100.0 * CAST(({cur}) - ({prev}) AS DOUBLE) / NULLIF(CAST({prev} AS DOUBLE), 0), 2)"
+    return round_ratio(f"({units(f'({cur}) - ({prev})')} * 100)", units(prev))
+
+
+def money_per(total: str, count: str) -> str:
+    return round_ratio(units(total), f"(CAST({count} AS HUGEINT) * 1000000)")
 
 
 Q: dict[str, str] = {}
@@ -133,7 +148,7 @@ Q["bm02_monthly_growth"] = (
     "SELECT year, month, CAST(rev AS DOUBLE) AS monthly_revenue, CAST(prev AS DOUBLE) AS prev_month_revenue, "
     f"{growth('rev', 'prev')} AS mom_growth_pct FROM (SELECT *, LAG(rev) OVER (ORDER BY year, month) AS prev FROM "
     f"(SELECT d.year, d.month, SUM(f.net_sales) AS rev FROM {FD} GROUP BY d.year, d.month))")
-Q["bm03_avg_order_value"] = (f"SELECT ROUND({ratio('SUM(net_sales)', 'COUNT(DISTINCT order_id)')}, 2) "
+Q["bm03_avg_order_value"] = (f"SELECT {money_per('SUM(net_sales)', 'COUNT(DISTINCT order_id)')} "
                              "AS avg_order_value FROM fact_sales")
 Q["bm04_top_months"] = (f"SELECT d.year, d.month, d.month_name, {money('SUM(f.net_sales)', 'monthly_revenue')} "
                         f"FROM {FD} GROUP BY d.year, d.month, d.month_name "
@@ -166,7 +181,7 @@ Q["bm12_repeat_customer_rate"] = (
     f"SELECT {pct_counts('SUM(CASE WHEN order_count > 1 THEN 1 ELSE 0 END)', 'COUNT(*)')} "
     "AS repeat_customer_rate_pct FROM (SELECT customer_key, COUNT(DISTINCT order_id) AS order_count "
     "FROM fact_sales GROUP BY customer_key)")
-Q["bm13_avg_customer_value"] = (f"SELECT ROUND({ratio('SUM(net_sales)', 'COUNT(DISTINCT customer_key)')}, 2) "
+Q["bm13_avg_customer_value"] = (f"SELECT {money_per('SUM(net_sales)', 'COUNT(DISTINCT customer_key)')} "
                                 "AS avg_customer_value FROM fact_sales")
 _cancelled = "SUM(CASE WHEN order_status = 'Cancelled' THEN 1 ELSE 0 END)"
 _returned = "SUM(CASE WHEN order_status = 'Returned' THEN 1 ELSE 0 END)"

@@ -203,3 +203,13 @@ def test_silver_dates_from_dirty_text(spark):
     c = silver.customers(spark.createDataFrame(rows, cols), SilverConfig(order_cols=("seq",)))
     r = silver.silver_view(c, "customers").first()
     assert r.date_of_birth == dt.date(1990, 5, 1) and r.signup_date is None and r.city == "Delhi"
+
+
+def test_round_ratio_exact_ties(spark):
+    df = spark.createDataFrame([(Decimal("38819.497"), Decimal("39044.000")), (Decimal("1.125"), Decimal("1")),
+                                (Decimal("5"), Decimal("0")), (Decimal("-1.005"), Decimal("1"))],
+                               "cur decimal(22,6), prev decimal(22,6)")
+    got = [r.g for r in df.select(ratios.growth_pct("cur", "prev").alias("g")).collect()]
+    assert got == [-0.58, 12.5, None, -200.5]
+    got = [r.v for r in df.select(ratios.money_per(F.col("prev") * 0 + Decimal("1.005"), F.lit(1)).alias("v")).collect()]
+    assert got[0] == 1.01  # a float 1.005 would round to 1.0
