@@ -16,7 +16,6 @@ import json
 import os
 import re
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -39,14 +38,12 @@ def main() -> None:
     from lakemart.plans.pipeline import fixture_lake
     from lakemart.session import build_session
 
-    extra = {}
-    if not os.environ.get("SPARK_CHECKPOINT_DIR"):
-        extra["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="lakemart-bench-")
-    spark = build_session(f"local[{cpus}]", "lakemart-bench", shuffle_partitions=max(8, 2 * cpus), extra=extra)
+    # spark.checkpoint.dir comes from the session (set only when unset)
+    spark = build_session(f"local[{cpus}]", "lakemart-bench", shuffle_partitions=max(8, 2 * cpus))
 
     times: dict[str, float] = {}
     t0 = time.perf_counter()
-    fixture_lake(spark, sf_dir)
+    fixture_lake(spark, sf_dir, reuse=False)  # always a full, fresh pipeline run
     times["pipeline"] = round(time.perf_counter() - t0, 3)
     for name in HEADLINE:
         t = time.perf_counter()

@@ -239,20 +239,21 @@ def _fingerprint(spark: SparkSession, sf_dir: str) -> tuple[str, bool]:
     return hashlib.md5("|".join(parts).encode()).hexdigest()[:16], local
 
 
-def fixture_lake(spark: SparkSession, sf_dir: str) -> StoredModel:
+def fixture_lake(spark: SparkSession, sf_dir: str, reuse: bool = True) -> StoredModel:
     """The lake of a test-data folder, built by the pipeline in the shared
     scratch folder.  A finished build (marked complete) is reused by later
     calls and, on a local folder, by later applications; every build writes to
-    its own folder, so concurrent builders never share files."""
+    its own folder, so concurrent builders never share files.  ``reuse=False``
+    always builds (the bench times a full pipeline run)."""
     from lakemart.plans.model import FIXTURE_CONFIG
     key, reusable = _fingerprint(spark, sf_dir)
-    if key in _LAKES:
+    if reuse and key in _LAKES:
         return _LAKES[key]
     root = scratch_root(spark)
     # markers are plain files: cross-application reuse only on a local root
     reusable = reusable and "://" not in root
     base = f"{root}/{key}"
-    if reusable and os.path.isdir(base):
+    if reuse and reusable and os.path.isdir(base):
         for build in sorted(os.listdir(base)):
             marker = os.path.join(base, build, _DONE)
             if os.path.exists(marker):
