@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -211,6 +212,7 @@ def run(spark: SparkSession, bronze: dict[str, DataFrame], lake: Lake, cfg: Silv
 # ----- materialised fixture lakes -------------------------------------------------
 
 _LAKES: dict[str, StoredModel] = {}
+_LAKES_LOCK = threading.Lock()
 _DONE = "_LAKE_COMPLETE"
 
 
@@ -240,6 +242,12 @@ def _fingerprint(spark: SparkSession, sf_dir: str) -> tuple[str, bool]:
 
 
 def fixture_lake(spark: SparkSession, sf_dir: str, reuse: bool = True) -> StoredModel:
+    """Thread-safe: concurrent callers wait for one build."""
+    with _LAKES_LOCK:
+        return _fixture_lake(spark, sf_dir, reuse)
+
+
+def _fixture_lake(spark: SparkSession, sf_dir: str, reuse: bool = True) -> StoredModel:
     """The lake of a test-data folder, built by the pipeline in the shared
     scratch folder.  A finished build (marked complete) is reused by later
     calls and, on a local folder, by later applications; every build writes to
