@@ -53,3 +53,22 @@ def test_export_reload_reconcile(spark, lake, tmp_dir):
     assert t.count() == 100
     bad = publish.reconcile([("dim_store", lake.dim_store, t.limit(99), None)]).first()
     assert not bad.matched
+
+
+def test_sql_on_dataframes_equals_metrics(spark, lake):
+    got = catalog.run_sql_on(spark, "monthly_net_sales", lake).collect()
+    want = metrics.monthly_net_sales(lake).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
+def test_completed_lake_is_reused_from_its_marker(spark, lake):
+    from lakemart.plans import pipeline
+    saved = dict(pipeline._LAKES)
+    try:
+        pipeline._LAKES.clear()
+        again = pipeline.fixture_lake(spark, SF001)
+        assert again.lake.root == lake.lake.root          # no rebuild
+        assert again.dim_rows == lake.dim_rows            # measured sizes kept
+    finally:
+        pipeline._LAKES.clear()
+        pipeline._LAKES.update(saved)
