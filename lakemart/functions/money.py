@@ -64,7 +64,3 @@ def line_amount(qty, price, disc_pct, tax_pct) -> Column:
     after_disc = (_c(qty).cast(QTY) * _c(price) * (F.lit(1) - _c(disc_pct) * _hundredth())).cast("decimal(24,6)")
     return F.round(after_disc * (F.lit(1) + _c(tax_pct) * _hundredth()), 2).cast(LINE)
 
-
-def to_double(col) -> Column:
-    """Cast an exact decimal result to DOUBLE for presentation."""
-    return _c(col).cast("double")

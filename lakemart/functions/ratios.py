@@ -16,14 +16,8 @@ def safe_div(num, den) -> Column:
     return F.try_divide(_c(num).cast("double"), _c(den).cast("double"))
 
 
-def pct(num, den, digits: int = 2) -> Column:
-    """round(100 * num / den, digits) as DOUBLE, NULL-safe."""
-    return F.round(safe_div(_c(num).cast("double") * F.lit(100.0), den), digits)
 
 
-def count_where(cond: Column) -> Column:
-    """COUNT of rows satisfying cond (NULL counts as false)."""
-    return F.count_if(cond)
 
 
 def pct_of_counts(num, den) -> Column:

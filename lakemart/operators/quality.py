@@ -63,25 +63,10 @@ def _rows(layer: str, table: str, agg: DataFrame, names: Sequence[str]) -> DataF
                       "total_records", "failed_records", status(F.col("failed_records")).alias("status"))
 
 
-def scalar_checks(layer: str, table: str, df: DataFrame, checks: Sequence[ScalarCheck]) -> DataFrame:
-    """All row-level checks of one table in one pass."""
-    agg = df.agg(F.count(F.lit(1)).alias("_total"),
-                 *[F.count_if(c.fails).alias(f"_f{i}") for i, c in enumerate(checks)])
-    return _rows(layer, table, agg, [c.name for c in checks])
 
 
-def duplicate_check(layer: str, table: str, df: DataFrame, key: str, name: str | None = None) -> DataFrame:
-    """failed = sum over keys of (copies - 1); partial aggregation map-side."""
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    agg = per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_total"),
-                      F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("_f0"))
-    return _rows(layer, table, agg, [name or f"Duplicate {key}"])
 
 
-def fk_check(layer: str, table: str, child: DataFrame, key: str, parent: DataFrame, name: str,
-             parent_key: str | None = None) -> DataFrame:
-    """failed = children whose key is missing from the parent (NULL key fails)."""
-    return table_checks(layer, table, child.select(key), None, (), [FkCheck(name, key, parent, parent_key)])
 
 
 @dataclass(frozen=True)
