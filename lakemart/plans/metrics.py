@@ -72,17 +72,19 @@ def top_profit_products(m, n: int = 20) -> DataFrame:
 
 def declining_products(m) -> DataFrame:
     """Product-months whose revenue fell against the product's previous
-    active month.  Partitioned by product; each partition holds at most one
-    row per month, whatever the product's sales volume."""
+    active month.  The LAG runs per product key (1:1 with product_id) over the
+    product-month aggregate -- at most one row per month per partition,
+    whatever the product's sales volume -- and names are joined only to the
+    declining rows."""
     pm = m.fact_sales.groupBy("product_key", "year", "month").agg(F.sum(NET).alias("_rev"))
-    pm = pm.join(m.dim_product.select("product_key", "product_id", "product_name"), "product_key")
-    w = Window.partitionBy("product_id").orderBy("year", "month")
+    w = Window.partitionBy("product_key").orderBy("year", "month")
     pm = pm.withColumn("_prev", F.lag("_rev").over(w))
-    return (pm.filter(F.col("_prev").isNotNull() & (F.col("_rev") < F.col("_prev")))
-            .select("product_id", "product_name", "year", "month",
-                    F.col("_rev").cast("double").alias("revenue"),
-                    F.col("_prev").cast("double").alias("prev_revenue"),
-                    _growth_pct(F.col("_rev"), F.col("_prev")).alias("mom_change_pct")))
+    down = pm.filter(F.col("_prev").isNotNull() & (F.col("_rev") < F.col("_prev")))
+    down = down.join(m.dim_product.select("product_key", "product_id", "product_name"), "product_key")
+    return down.select("product_id", "product_name", "year", "month",
+                       F.col("_rev").cast("double").alias("revenue"),
+                       F.col("_prev").cast("double").alias("prev_revenue"),
+                       _growth_pct(F.col("_rev"), F.col("_prev")).alias("mom_change_pct"))
 
 
 def _by_store(m, cols, measures) -> DataFrame:
