@@ -68,14 +68,15 @@ def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[in
         row = past
 
 
-def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each word, and the number of words before each document
-    (one more entry than documents)."""
+def _words(data: np.ndarray, off: np.ndarray, space: np.ndarray):
+    """Of the bytes of words: their values, places in their words, and the
+    position of each word's first among them; and the words before each document."""
     n = len(data)
+    none = np.zeros(0, np.int64)
     if not n:
-        return np.zeros(0, np.uint64), np.zeros(len(off), np.int64)
+        return np.zeros(0, np.uint64), none, none, np.zeros(len(off), np.int64)
     low = LOWER[data]
-    solid = ~IS_SPACE[low]
+    solid = ~space[low]
     first = solid.copy()
     first[1:] &= ~solid[:-1]
     inner = off[1:-1]
@@ -83,14 +84,42 @@ def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     first[inner] = solid[inner]  # a document's first byte starts a word of its own
     starts = np.flatnonzero(first)
     if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(len(off), np.int64)
+        return np.zeros(0, np.uint64), none, none, np.zeros(len(off), np.int64)
     count = np.searchsorted(starts, off)
     spot = np.flatnonzero(solid)
-    word_of = np.cumsum(first[spot]) - 1
-    place = spot - starts[word_of]
-    value = _BYTE[low[spot]] * powers(int(place.max()) + 1)[place]
     heads = np.searchsorted(spot, starts)
-    return mix(np.add.reduceat(value, heads)), count
+    place = spot - np.repeat(starts, np.diff(np.append(heads, len(spot))))
+    value = _BYTE[low[spot]] * powers(int(place.max()) + 1)[place]
+    return value, place, heads, count
+
+
+def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each word, and the number of words before each document
+    (one more entry than documents)."""
+    value, _, heads, count = _words(data, off, IS_SPACE)
+    return (mix(np.add.reduceat(value, heads)) if len(heads) else np.zeros(0, np.uint64)), count
+
+
+def word_beginnings(data: np.ndarray, off: np.ndarray, lengths: tuple[int, ...], space: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(document, hash) of every word between bytes of ``space``, and of the
+    first bytes of longer words for each of ``lengths``; a beginning differs from a
+    whole word of the same bytes."""
+    value, place, heads, count = _words(data, off, space)
+    if not len(heads):
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    doc = np.repeat(np.arange(len(count) - 1), np.diff(count))
+    size = np.diff(np.append(heads, len(value)))
+    docs, out = [doc], [mix(np.add.reduceat(value, heads))]
+    for k in lengths:
+        longer = np.flatnonzero(size >= k)
+        if not len(longer):
+            continue
+        total = np.zeros(len(longer), np.uint64)
+        for j in range(k):
+            total += value[heads[longer] + j]
+        docs.append(doc[longer])
+        out.append(mix(total + np.uint64(0xC0FFEE * k)))
+    return np.concatenate(docs), np.concatenate(out)
 
 
 def shingles(data: np.ndarray, off: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import bpe, chat, decontaminate, jaccard_join, sharding, token_counts, topk
+from lakemart.llm import bpe, chat, decontaminate, html_extract, jaccard_join, sharding, token_counts, topk, toxicity
 
 
 def tokenizer_path(name: str) -> str:
@@ -27,6 +27,14 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_conversations(chat.turn_events(turns.union(extra))))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    out = toxicity.score(docs, model)
+    return out.select("doc_id", F.coalesce(toxicity.fold_of(F.col("doc_id")) == 1, F.lit(False)).alias("held_out"), "score",
+                      (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.integer_vectors(table(spark, sf_dir, "embeddings"))
     return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
@@ -46,6 +54,11 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html_extract.extract_text(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
@@ -61,7 +74,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_chat_formatting, op4_topk_search, op5_sharding, op6_token_counts, op8_bpe, op9_decontamination, op10_jaccard_join)}
+    op1_chat_formatting, op3_toxicity, op4_topk_search, op5_sharding, op6_token_counts, op7_html_extraction, op8_bpe, op9_decontamination, op10_jaccard_join)}
 
 #: Upper case A-Z, lower case a-z.
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
