@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import bpe, chat, decontaminate, html_extract, jaccard_join, sharding, token_counts, topk, toxicity
+from lakemart.llm import bpe, chat, decontaminate, html_extract, jaccard_join, sharding, suffix_dedup, token_counts, topk, toxicity
 
 
 def tokenizer_path(name: str) -> str:
@@ -27,6 +27,13 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_conversations(chat.turn_events(turns.union(extra))))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s[1] - s[0])
+    return out.select("doc_id", (F.octet_length("kept") + removed).cast("long").alias("n_bytes"), removed.alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -74,7 +81,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_chat_formatting, op3_toxicity, op4_topk_search, op5_sharding, op6_token_counts, op7_html_extraction, op8_bpe, op9_decontamination, op10_jaccard_join)}
+    op1_chat_formatting, op2_suffix_dedup, op3_toxicity, op4_topk_search, op5_sharding, op6_token_counts, op7_html_extraction, op8_bpe, op9_decontamination, op10_jaccard_join)}
 
 #: Upper case A-Z, lower case a-z.
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
