@@ -16,6 +16,7 @@ import unicodedata
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -252,30 +253,29 @@ def load(path: str) -> Bpe:
     return _loaded[path]
 
 
-def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: the id, ids (binary: token ids as little-endian
-    unsigned 32-bit integers), n_tokens and decoded.
+def encode_decode(docs: DataFrame, path: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns ``keep`` of every row, ids (binary: token ids as
+    little-endian unsigned 32-bit integers), n_tokens and decoded.
 
     Null, empty and blank texts have no tokens and decode to the empty string.
     Whole texts are encoded; null ids and repeated rows stay as they are; other
-    columns are not read.
+    columns are not read.  ``keep`` must not hold names of the results.
     """
     def run(batches):
         bpe = load(path)
         for b in batches:
-            texts = b.column(1)
+            texts = b.column(b.num_columns - 1)
+            lengths = pc.fill_null(pc.utf8_length(texts), 0).to_pylist()
             start, size = 0, 0
-            lengths = [len(t) if t else 0 for t in texts.to_pylist()]
             for i, n in enumerate(lengths):
                 size += n
                 if size >= GROUP_CHARS or i == len(lengths) - 1:
-                    group = [t or "" for t in texts.slice(start, i + 1 - start).to_pylist()]
-                    ids, text = bpe.encode(group)
-                    yield pa.record_batch([b.column(0).slice(start, i + 1 - start), pa.array(ids, pa.binary()),
-                                           pa.array(text, pa.string())], names=["id", "ids", "decoded"])
+                    part = b.slice(start, i + 1 - start)
+                    ids, text = bpe.encode([t or "" for t in part.column(b.num_columns - 1).to_pylist()])
+                    yield pa.record_batch([*part.columns[:-1], pa.array(ids, pa.binary()), pa.array(text, pa.string())],
+                                          names=[*keep, "ids", "decoded"])
                     start, size = i + 1, 0
 
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = dict(src.dtypes)["id"]
-    out = src.mapInArrow(run, f"id {kind}, ids binary, decoded string")
-    return out.select(F.col("id").alias(id_col), "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "decoded")
+    src = docs.select(*keep, F.col(text_col).alias("__text"))
+    out = src.mapInArrow(run, ", ".join(f"`{c}` {t}" for c, t in src.dtypes[:-1]) + ", ids binary, decoded string")
+    return out.select(*keep, "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "decoded")

@@ -93,25 +93,26 @@ class Items:
         return found
 
 
-def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 item_id: str = "item_id", item_text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, item_id, n_shared, n_item) for each document that holds at
-    least ``percent`` of an item's distinct shingles of ``words`` words.
+def marked(docs: DataFrame, items: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",),
+           item_id: str = "item_id", item_text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
+    """The columns ``keep`` of every row and hits: an array of (item_id,
+    n_shared, n_item) of the items of which its text holds at least ``percent``
+    of the distinct shingles of ``words`` words.
 
     Words are runs without white space, A-Z lower-cased; a text of fewer words
     is one shingle, its whole sequence.  Null, empty and blank texts have no
-    shingles and match nothing.  Repeated rows give repeated pairs; null ids
-    stay null.  Items are read in blocks of bounded size, one pass over the
-    documents each; a block is what is broadcast.  Other columns are not read.
+    shingles and match nothing.  Null ids and repeated rows, of documents and
+    items, stay as they are.  Items are read in blocks of bounded size, one pass over the
+    documents each; a block is what is broadcast.  Other columns are not read;
+    ``keep`` must not hold hits.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     items = items.select(F.col(item_id).alias("item_id"), F.coalesce(F.col(item_text), F.lit("")).alias("text"))
-    kind, item_kind = dict(docs.dtypes)["doc_id"], dict(items.dtypes)["item_id"]
-    schema = f"doc_id {kind}, item_id {item_kind}, n_shared long, n_item long"
+    hit = f"array<struct<item_id:{dict(items.dtypes)['item_id']},n_shared:bigint,n_item:bigint>>"
     size = items.agg(F.sum(F.octet_length("text") + 16).alias("b")).first()["b"] or 0
     passes = max(1, -(-int(size) // ITEM_BYTES))
-    out = None
+    now = docs.select(*keep, F.lit(None).cast(hit).alias("hits"), F.col(text_col).alias("__text"))
+    schema = ", ".join(f"`{c}` {t}" for c, t in now.dtypes)
     for p in range(passes):
         block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == p) if passes > 1 else items
         rows = block.collect()
@@ -121,23 +122,25 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
         def run(batches, shared=shared):
             found = shared.value
             for b in batches:
-                docs_of, items_of, n_shared, n_item = [], [], [], []
-                for row, past, data, off in text_slices(b.column(1)):
+                text, hits = b.column(b.num_columns - 1), b.column(b.num_columns - 2)
+                new: dict[int, list] = {}
+                for row, past, data, off in text_slices(text):
                     doc, h = shingles(data, off, words)
                     pairs = sorted(found.candidates(doc, h))
                     ends = np.searchsorted(doc, np.arange(past - row + 1)) if pairs else None
                     for d, i in pairs:
                         n = int(np.isin(found.sets[i], h[ends[d]: ends[d + 1]]).sum())
                         if 100 * n >= percent * len(found.sets[i]):
-                            docs_of.append(row + d)
-                            items_of.append(found.ids[i])
-                            n_shared.append(n)
-                            n_item.append(len(found.sets[i]))
-                if docs_of:
-                    yield pa.record_batch([b.column(0).take(pa.array(docs_of, pa.int64())),
-                                           pa.array(items_of), pa.array(n_shared, pa.int64()), pa.array(n_item, pa.int64())],
-                                          names=["doc_id", "item_id", "n_shared", "n_item"])
-
-        part = docs.mapInArrow(run, schema)
-        out = part if out is None else out.union(part)
-    return out.select(F.col("doc_id").alias(id_col), F.col("item_id").alias(item_id), "n_shared", "n_item")
+                            new.setdefault(row + d, []).append({"item_id": found.ids[i], "n_shared": n, "n_item": len(found.sets[i])})
+                if new:
+                    hits = pa.array([(old or []) + new.get(i, []) for i, old in enumerate(hits.to_pylist())], hits.type)
+                yield pa.record_batch([*b.columns[:-2], hits, text], names=b.schema.names)
+
+        now = now.mapInArrow(run, schema)
+    return now.select(*keep, F.coalesce("hits", F.array().cast(hit)).alias("hits"))
+
+
+def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """(doc_id, item_id, n_shared, n_item), a row for each hit of ``marked``."""
+    hits = marked(docs, items, keep=(id_col,), **options)
+    return hits.select(F.col(id_col), F.explode("hits").alias("h")).select(id_col, "h.item_id", "h.n_shared", "h.n_item")

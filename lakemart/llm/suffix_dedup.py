@@ -360,7 +360,7 @@ def _expand(n: int):
     return run
 
 
-def _remove(columns: list[str]):
+def _remove(columns: list[str], as_text: bool):
     """A part's documents and removed ranges -> documents with spans and kept bytes."""
     def run(docs: pa.Table, found: pa.Table) -> pa.Table:
         payload = found.column("payload")
@@ -384,15 +384,16 @@ def _remove(columns: list[str]):
                 raw = raw[np.cumsum(cover[:-1]) == 0]
             kept.append(raw.tobytes())
         cols = [docs.column(c).combine_chunks() for c in columns]
-        return pa.table([*cols, pa.array(spans, pa.list_(pa.list_(pa.int64()))), pa.array(kept, pa.binary())],
-                        names=[*columns, "__spans", "__kept"])
+        kept = pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()) if as_text else pa.array(kept, pa.binary())
+        return pa.table([*cols, pa.array(spans, pa.list_(pa.list_(pa.int64()))), kept], names=[*columns, "__spans", "__kept"])
     return run
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", as_text: bool = False) -> DataFrame:
     """The columns of ``docs`` but the text, with spans (array of [begin, end)
     in bytes, the maximal removed runs) and kept (binary, the remaining bytes
-    joined), one row per input row.
+    joined; as_text: a string without characters of which only a part remains),
+    one row per input row.
 
     Texts are UTF-8 bytes; null: empty.  Matches never cross documents, and are
     judged on the input.  Documents are ordered by id, rows of one id by a hash
@@ -412,7 +413,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     marked = fetched.groupBy("bucket").applyInArrow(_expand(n), _ROWS)
     types = dict(src.dtypes)
     keep = list(names.values())
-    schema = ", ".join(f"`{k}` {types[k]}" for k in keep) + ", __spans array<array<long>>, __kept binary"
-    out = by_part.cogroup(marked.groupBy("bucket")).applyInArrow(_remove(keep), schema)
+    schema = ", ".join(f"`{k}` {types[k]}" for k in keep) + ", __spans array<array<long>>, __kept " + ("string" if as_text else "binary")
+    out = by_part.cogroup(marked.groupBy("bucket")).applyInArrow(_remove(keep, as_text), schema)
     return out.select(*[F.col(k).alias(c) for c, k in names.items()], F.col("__spans").alias("spans"), F.col("__kept").alias("kept"))
 

@@ -167,16 +167,17 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: int = 1, prior: float | No
     return model
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score) of every row: the probability that its text is toxic.
+def score(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), out: str = "score") -> DataFrame:
+    """The columns ``keep`` of every row and ``out``: the probability that its text is toxic.
 
     Nothing but the text enters a score.  Null and empty texts get the score of
     a text without features.  Null ids and repeated rows stay as they are.
+    ``out`` must not be one of ``keep``.
     """
     def run(batches):
         for b in batches:
-            out = [model.score(data, off) for _, _, data, off in text_slices(b.column(1))]
-            yield pa.record_batch([b.column(0), pa.array(np.concatenate([*out, np.zeros(0)]))], names=["id", "score"])
+            got = [model.score(data, off) for _, _, data, off in text_slices(b.column(b.num_columns - 1))]
+            yield pa.record_batch([*b.columns[:-1], pa.array(np.concatenate([*got, np.zeros(0)]))], names=[*keep, out])
 
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return src.mapInArrow(run, f"id {dict(src.dtypes)['id']}, score double").select(F.col("id").alias(id_col), "score")
+    src = docs.select(*keep, F.col(text_col).alias("__text"))
+    return src.mapInArrow(run, ", ".join(f"`{c}` {t}" for c, t in src.dtypes[:-1]) + f", `{out}` double")
