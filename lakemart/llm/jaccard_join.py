@@ -10,9 +10,11 @@ to the last one, where such sets share one signature.
 
 Sets that share a signature are compared in blocks: all sets that share a
 signature whose smallest member is p form the block of p.  A block's sets meet
-in one task (large blocks: chunk against chunk), are compared exactly, and give
-at most one link per set and chunk, so nothing grows with the square of a
-group.  Equal sets count as one from the first task on.
+in one task (large blocks: chunk against chunk), first as parity sketches, whose
+distance bounds that of the sets from below, so that a set without a possible
+partner goes; then as sets, which are compared exactly.  They give at most one
+link per set and chunk, so nothing grows with the square of a group.  Equal
+sets count as one from the first task on.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ SLICE_DOCS = 1 << 12
 ROUNDS = 4
 #: Sets of a block compared in one task; larger blocks are compared chunk by chunk.
 BLOCK_SETS = 1024
+#: 64-bit words of a parity sketch.
+SKETCH_WORDS = 16
 
 
 def feature_sets(column: pa.Array, size: int):
@@ -48,6 +52,17 @@ def feature_sets(column: pa.Array, size: int):
             yield lo, hi, (key >> _U(FEATURE_BITS)).astype(np.int64), key & _U((1 << FEATURE_BITS) - 1)
 
 
+def parity_sketches(doc: np.ndarray, feature: np.ndarray, n_docs: int) -> np.ndarray:
+    """SKETCH_WORDS words a set: each bit is the parity of the features that
+    fall on it.  Two sets differ in at least as many features as their
+    sketches in bits."""
+    x = mix(feature + _U(0x5CE7C4))
+    at = (x % _U(SKETCH_WORDS)).astype(np.int64)
+    out = np.zeros(n_docs * SKETCH_WORDS, _U)
+    np.bitwise_xor.at(out, doc * SKETCH_WORDS + at, _U(1) << (x >> _U(58)))
+    return out.reshape(n_docs, SKETCH_WORDS)
+
+
 class Bands:
     """Size bands for a threshold of num/100, and the parts of each."""
 
@@ -126,7 +141,7 @@ def _map(size: int, num: int, n_buckets: int):
                 h1, h2 = _set_hashes(doc, feature, n)
                 count = np.bincount(doc, minlength=n)
                 spread = (spread * 31 + int(h1[0] >> _U(8)) + 1) % n_buckets
-                yield spread, pack(doc_id[lo:hi], known[lo:hi], count.astype(np.int32), h1, h2), 1
+                yield spread, pack(doc_id[lo:hi], known[lo:hi], count.astype(np.int32), h1, h2, parity_sketches(doc, feature, n)), 1
                 first = np.zeros(n, bool)
                 for i in np.flatnonzero((count > 0) & known[lo:hi]):
                     key = (int(h1[i]), int(h2[i]))
@@ -151,7 +166,7 @@ def _map(size: int, num: int, n_buckets: int):
     return to_batches
 
 
-_STAGE = "kind int, doc_id long, known boolean, n int, h1 long, h2 long, p1 long, p2 long"
+_STAGE = "kind int, doc_id long, known boolean, n int, h1 long, h2 long, p1 long, p2 long, sketch binary"
 
 
 def _reduce(table: pa.Table) -> pa.Table:
@@ -161,8 +176,11 @@ def _reduce(table: pa.Table) -> pa.Table:
     payload = table.column("payload")
     cols: dict[str, list] = {k: [] for k in ("kind", "doc_id", "known", "n", "h1", "h2", "p1", "p2")}
 
-    def put(**arrays):
+    sketches: list = []
+
+    def put(sketch=None, **arrays):
         size = len(arrays["h1"])
+        sketches.extend([None] * size if sketch is None else [x.tobytes() for x in sketch])
         for k in cols:
             cols[k].append(arrays[k] if k in arrays else np.zeros(size, np.int64))
 
@@ -170,8 +188,8 @@ def _reduce(table: pa.Table) -> pa.Table:
     for i, k in enumerate(kind):
         blob = payload[i].as_buffer()
         if k:
-            doc_id, known, n, h1, h2 = unpack(blob, np.int64, bool, np.int32, _U, _U)
-            put(kind=np.ones(len(h1), np.int64), doc_id=doc_id, known=known, n=n, h1=h1.view(np.int64), h2=h2.view(np.int64))
+            doc_id, known, n, h1, h2, sketch = unpack(blob, np.int64, bool, np.int32, _U, _U, _U)
+            put(sketch=sketch.reshape(-1, SKETCH_WORDS), kind=np.ones(len(h1), np.int64), doc_id=doc_id, known=known, n=n, h1=h1.view(np.int64), h2=h2.view(np.int64))
         else:
             a, b, local, s = unpack(blob, _U, _U, np.uint16, np.uint8)
             c1.append(a)
@@ -198,9 +216,44 @@ def _reduce(table: pa.Table) -> pa.Table:
             e = np.unique(np.stack([a[other], b[other], p[other], q[other]], axis=1).view(np.int64), axis=0)
             put(h1=e[:, 0], h2=e[:, 1], p1=e[:, 2], p2=e[:, 3])
     kinds = {"kind": np.int32, "known": bool, "n": np.int32}
-    return pa.table({k: pa.array(np.concatenate(v).astype(kinds.get(k, np.int64)) if v else np.zeros(0, kinds.get(k, np.int64)))
-                     for k, v in cols.items()})
+    out = {k: pa.array(np.concatenate(v).astype(kinds.get(k, np.int64)) if v else np.zeros(0, kinds.get(k, np.int64)))
+           for k, v in cols.items()}
+    return pa.table(out | {"sketch": pa.array(sketches, pa.binary())})
+
+
+def _tasks(table: pa.Table):
+    """(rows, crossed) of each task (block, i, j) in a bucket; crossed: chunk i meets another chunk."""
+    block, i, j, member = (np.asarray(table.column(c)) for c in ("block", "i", "j", "member"))
+    order = np.lexsort((member, j, i, block))
+    key = np.stack([block, i, j], axis=1)[order]
+    heads = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(axis=1)])) if len(order) else []
+    for a, b in zip(heads, [*heads[1:], len(order)], strict=True):
+        if b - a > 1:
+            yield order[a:b], bool(i[order[a]] != j[order[a]])
+
 
+def _sieve(num: int):
+    """Blocks of sketches -> (block, member) of the sets that may have a partner."""
+    def run(table: pa.Table) -> pa.Table:
+        block, member, side, size = (np.asarray(table.column(c)) for c in ("block", "member", "chunk", "n"))
+        size = size.astype(np.int64)
+        blobs = table.column("sketch").to_pylist()
+        kept = []
+        for rows, crossed in _tasks(table):
+            s = np.frombuffer(b"".join([blobs[r] for r in rows]), _U).reshape(len(rows), -1)
+            n, chunk = size[rows], side[rows]
+            may = np.zeros(len(rows), bool)
+            for x in range(len(rows)):
+                apart = np.bitwise_count(s ^ s[x]).sum(axis=1, dtype=np.int64)
+                near = ((100 + num) * apart <= (100 - num) * (n + n[x])) & (100 * np.minimum(n, n[x]) >= num * np.maximum(n, n[x]))
+                near[x] = False
+                if crossed:
+                    near &= chunk != chunk[x]
+                may[x] = near.any()
+            kept.append(rows[may])
+        kept = np.concatenate([*kept, np.zeros(0, np.int64)])
+        return pa.table({"block": pa.array(block[kept], pa.int64()), "member": pa.array(member[kept], pa.int64())})
+    return run
 
 def _compare(num: int):
     """Blocks of sets -> links, a forest over each block's linked sets."""
@@ -245,21 +298,12 @@ def _compare(num: int):
         return [(int(ids[i]), int(ids[root(i)])) for i in range(m) if root(i) != i]
 
     def run(table: pa.Table) -> pa.Table:
-        if not table.num_rows:
-            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-        block, i, j = (np.asarray(table.column(c)) for c in ("block", "i", "j"))
         member, side = np.asarray(table.column("member")), np.asarray(table.column("chunk"))
         blobs = table.column("features")
-        order = np.lexsort((member, j, i, block))
-        key = np.stack([block, i, j], axis=1)[order]
-        heads = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(axis=1)]))
         out = []
-        for a, b in zip(heads, np.append(heads[1:], len(order)), strict=True):
-            if b - a < 2:
-                continue
-            rows = order[a:b]
+        for rows, crossed in _tasks(table):
             sets = [np.frombuffer(blobs[int(r)].as_buffer(), _U) for r in rows]
-            out += links(member[rows], side[rows], sets, bool(i[rows[0]] != j[rows[0]]))
+            out += links(member[rows], side[rows], sets, crossed)
         return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
     return run
 
@@ -275,6 +319,21 @@ def _sets_of(size: int):
     return run
 
 
+def _dealt(members: DataFrame) -> DataFrame:
+    """(block, member) with g, the chunks of the block, and the member's chunk."""
+    chunks = members.groupBy("block").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("g")).where("g > 1")
+    return (members.join(chunks, "block", "left").na.fill(1, ["g"])
+            .withColumn("chunk", F.pmod(F.xxhash64("member"), F.col("g")).cast("int")))
+
+
+def _met(rows: DataFrame, n: int) -> DataFrame:
+    """Rows of dealt members, once for each pair of chunks (i, j) that they
+    belong to, grouped by buckets of such tasks."""
+    other = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
+    tasks = other.withColumn("i", F.least("chunk", "other")).withColumn("j", F.greatest("chunk", "other")).drop("other", "g")
+    return tasks.withColumn("bucket", F.pmod(F.xxhash64("block", "i", "j"), F.lit(n)).cast("int")).groupBy("bucket")
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, percent: int = 85) -> DataFrame:
     """One row per input row: doc_id, n_shingles and component_id.
 
@@ -288,37 +347,32 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    n = text_buckets(docs, "text")
-    stage = (docs.mapInArrow(_map(words, percent, n), "bucket int, kind int, payload binary")
+    buckets = text_buckets(docs, "text")
+    stage = (docs.mapInArrow(_map(words, percent, buckets), "bucket int, kind int, payload binary")
              .groupBy("bucket").applyInArrow(_reduce, _STAGE))
     stage = saved(stage, spark)
-    facts = stage.where("kind = 1")
-    classes = (facts.where("known and n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("rep")))
+    facts = stage.where("kind = 1").select("doc_id", "known", "n", "h1", "h2")
+    classes = saved(stage.where("kind = 1 and known and n > 0").groupBy("h1", "h2")
+                    .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), spark)
     edges = stage.where("kind = 0").select("h1", "h2", "p1", "p2").distinct()
-    named = (edges.join(classes, ["h1", "h2"])
-             .join(classes.select(F.col("h1").alias("p1"), F.col("h2").alias("p2"), F.col("rep").alias("block")), ["p1", "p2"])
+    reps = classes.select("h1", "h2", "rep")
+    pairs = (edges.join(reps, ["h1", "h2"])
+             .join(reps.select(F.col("h1").alias("p1"), F.col("h2").alias("p2"), F.col("rep").alias("block")), ["p1", "p2"])
              .select("block", F.col("rep").alias("member")))
-    named = saved(named.union(named.select("block", F.col("block").alias("member"))).distinct(), spark)
-    chunks = named.groupBy("block").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("g")).where("g > 1")
-    placed = (named.join(chunks, "block", "left").na.fill(1, ["g"])
-              .withColumn("chunk", F.pmod(F.xxhash64("member"), F.col("g")).cast("int")))
-    targets = placed.groupBy("member").agg(F.collect_list(F.struct("block", "g", "chunk")).alias("targets"))
+    members = saved(pairs.union(pairs.select("block", F.col("block").alias("member"))).distinct(), spark)
+    sketched = _dealt(members).join(classes.select(F.col("rep").alias("member"), "n", "sketch"), "member")
+    members = saved(_met(sketched, buckets).applyInArrow(_sieve(percent), "block long, member long").distinct(), spark)
+    targets = _dealt(members).groupBy("member").agg(F.collect_list(F.struct("block", "g", "chunk")).alias("targets"))
     kind = dict(targets.dtypes)["targets"]
-    sets = (docs.join(targets.withColumnRenamed("member", "doc_id"), "doc_id").select("doc_id", "text", "targets")
-            .mapInArrow(_sets_of(words), f"member long, targets {kind}, features binary"))
-    t = F.col("t")
-    tasks = (sets.select("member", F.explode("targets").alias("t"), "features")
-             .select("member", t["block"].alias("block"), t["chunk"].alias("chunk"),
-                     F.explode(F.sequence(F.lit(0), t["g"] - 1)).alias("other"), "features")
-             .select("member", "block", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"),
-                     "features"))
-    links = (tasks.withColumn("bucket", F.pmod(F.xxhash64("block", "i", "j"), F.lit(n)).cast("int"))
-             .groupBy("bucket").applyInArrow(_compare(percent), "a long, b long"))
+    # the same join at every size: the targets grow with the documents
+    wanted = docs.join(targets.withColumnRenamed("member", "doc_id").hint("merge"), "doc_id").select("doc_id", "text", "targets")
+    sets = (wanted.mapInArrow(_sets_of(words), f"member long, targets {kind}, features binary")
+            .select("member", F.explode("targets").alias("t"), "features").select("member", "t.*", "features"))
+    links = _met(sets, buckets).applyInArrow(_compare(percent), "a long, b long")
     roots = components(links, spark)
-    named = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
+    named = reps.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
         "h1", "h2", F.coalesce("root", "rep").alias("root"))
     own = F.when(F.col("known"), F.coalesce("root", "doc_id"))
-    return (facts.join(named.withColumn("some", F.lit(True)),
-                       (facts.h1 == named.h1) & (facts.h2 == named.h2) & facts.known & (facts.n > 0), "left")
+    return (facts.join(named, (facts.h1 == named.h1) & (facts.h2 == named.h2) & facts.known & (facts.n > 0), "left")
             .select(F.when(F.col("known"), F.col("doc_id")).alias(id_col), F.col("n").cast("long").alias("n_shingles"),
                     own.alias("component_id")))
