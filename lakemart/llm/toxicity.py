@@ -162,7 +162,8 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: int = 1, prior: float | No
                 yield pa.record_batch([pa.array(got, pa.list_(pa.int64())), b.column(1).slice(row, past - row),
                                        b.column(2).slice(row, past - row)], names=["at", "p", "u"])
 
-    rows = sample.mapInArrow(presence, "at array<long>, p int, u int").orderBy("at", "p", "u").collect()
+    rows = sample.mapInArrow(presence, "at array<long>, p int, u int").collect()
+    rows.sort(key=lambda r: (r["at"], r["p"] or 0, r["u"] or 0))  # the same sums in any order of arrival
     model.train([np.array(r["at"], np.int64) for r in rows if r["p"]], [np.array(r["at"], np.int64) for r in rows if r["u"]], prior)
     return model
 
