@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BRONZE_ORDER = ("ingestion_timestamp", "batch_id")
@@ -15,25 +15,19 @@ def _as_list(cols) -> list[str]:
 
 
 def dedupe_latest(df: DataFrame, keys: str | Sequence[str],
-                  order_cols: Sequence[str] = BRONZE_ORDER,
-                  strategy: str = "aggregate") -> DataFrame:
+                  order_cols: Sequence[str] = BRONZE_ORDER) -> DataFrame:
     """One row per key: the largest ``order_cols`` wins, ties broken by every
     remaining column (descending, NULL smallest), so the result is fully
     deterministic even when copies share one ingestion timestamp.
 
-    ``strategy="aggregate"`` (default) is ``groupBy(keys).agg(max(struct))``:
-    the partial aggregate collapses copies map-side, so a key holding a third
-    of all rows still sends one row per map partition through the shuffle.
-    ``strategy="window"`` is the ``row_number() = 1`` form (Spark plans a
-    WindowGroupLimit); both return the same rows.
+    It is ``groupBy(keys).agg(max(struct))``: the partial aggregate collapses
+    copies map-side, so a key holding a third of all rows still sends one row
+    per map partition through the shuffle.
     """
     keys = _as_list(keys)
     order = [c for c in order_cols if c in df.columns]
     rest = [c for c in df.columns if c not in keys and c not in order]
     ranked = order + rest
-    if strategy == "window":
-        w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in ranked])
-        return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
     if not ranked:
         return df.dropDuplicates(keys)
     latest = F.max(F.struct(*ranked)).alias("_latest")

@@ -62,11 +62,11 @@ def inject_invalid_numeric(df: DataFrame, col: str, pct: float, key: str, negati
 
 def inject_invalid_fk(df: DataFrame, col: str, pct: float, key: str, prefix: str, seed: int = 42,
                       label: str | None = None) -> DataFrame:
-    """Replace the FK with ``<prefix><900000..999998>`` (ids no parent has)."""
+    """Replace the FK with ``NO<prefix>-<hash>``, a form that no parent id has
+    however many parents there are."""
     flag = f"_picked_{label or 'fk_' + col}"
     d = _rank_flag(df, key, pct, seed, flag)
-    fake = F.concat(F.lit(prefix), (F.lit(900000) + F.pmod(F.xxhash64(F.lit(seed + 2), F.col(key)),
-                                                             F.lit(99999))).cast("string"))
+    fake = F.concat(F.lit(f"NO{prefix}-"), F.hex(F.xxhash64(F.lit(seed + 2), F.col(key))))
     return d.withColumn(col, F.when(F.col(flag), fake).otherwise(F.col(col)))
 
 

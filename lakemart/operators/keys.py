@@ -27,7 +27,7 @@ def with_dense_key(df: DataFrame, order_cols: str | Sequence[str], key_name: str
     checkpointed (reliable, to the shared ``spark.checkpoint.dir``) so the
     counting pass and the numbering pass read the very same rows: without it,
     column pruning gives each pass its own range exchange, each with its own
-    sampled bounds.  ``order_cols`` must be unique.
+    sampled bounds.  ``order_cols`` must be unique.  The key is a BIGINT.
     """
     order = [order_cols] if isinstance(order_cols, str) else list(order_cols)
     spark = df.sparkSession
@@ -40,7 +40,7 @@ def with_dense_key(df: DataFrame, order_cols: str | Sequence[str], key_name: str
     sizes = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_pid", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    key = (F.col("_off") + F.col("_mid") - F.col("_first") + 1).cast("int")
+    key = (F.col("_off") + F.col("_mid") - F.col("_first") + 1).cast("long")
     return (tagged.join(F.broadcast(offsets), "_pid")
             .select(key.alias(key_name), *df.columns))
 

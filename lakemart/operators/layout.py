@@ -42,9 +42,14 @@ def _spread(c: Column) -> Column:
 
 
 def z_value(cols: Sequence[str | Column], bits: int = 31) -> Column:
-    """Morton code of non-negative integers, using the low ``bits`` bits of
-    each: bit i of column j lands at position i*len(cols) + j."""
-    cs = [_col(c).cast("long").bitwiseAND(F.lit((1 << bits) - 1)) for c in cols]
+    """Morton code of non-negative integers below 2**bits: bit i of column j
+    lands at position i*len(cols) + j.  A key outside that range raises; a null
+    gives a null."""
+    cs = []
+    for c in cols:
+        v = _col(c).cast("long")
+        fits = v.isNull() | ((v >= 0) & (v < (1 << bits)))
+        cs.append(F.when(fits, v).otherwise(F.raise_error(F.lit(f"z_value: key outside 0 .. 2**{bits} - 1")).cast("long")))
     if len(cs) == 2 and bits <= 31:
         return _spread(cs[0]).bitwiseOR(F.shiftleft(_spread(cs[1]), 1))
     assert bits * len(cs) <= 63, "z-value would overflow BIGINT"
@@ -77,4 +82,4 @@ def clustered(df: DataFrame, cluster_cols: Sequence[str], partition_cols: Sequen
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str], mode: str = "overwrite") -> None:
     """Partitioned write through the ``rebalance`` hint (see module doc)."""
-    df.hint("rebalance", *partition_cols).write.mode(mode).partitionBy(*partition_cols).parquet(path)
+    df.hint("rebalance", *partition_cols).write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(*partition_cols).parquet(path)

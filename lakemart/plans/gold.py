@@ -29,7 +29,9 @@ FACT_COLUMNS = ["sales_key", "order_id", "order_item_id", "customer_key", "produ
 
 def _dim(silver: DataFrame, natural_key: str, key: str, name: str) -> DataFrame:
     cols = [c for c in DIM_COLUMNS[name] if c != key]
-    return with_dense_key(silver.select(*cols), natural_key, key).select(*DIM_COLUMNS[name])
+    # dimension keys are INT by contract; under ANSI the cast raises past 2^31 - 1 rows
+    keyed = with_dense_key(silver.select(*cols), natural_key, key)
+    return keyed.withColumn(key, F.col(key).cast("int")).select(*DIM_COLUMNS[name])
 
 
 def dim_customer(silver_customers: DataFrame) -> DataFrame:

@@ -17,11 +17,6 @@ from lakemart.functions.ratios import growth_pct, money_per, money_sum, pct_of_c
 NET, PROFIT = "net_sales", "profit"
 
 
-def _growth_pct(cur, prev):
-    """round(100 * (cur - prev) / prev, 2), exact HALF_UP; NULL on a zero/NULL prev."""
-    return growth_pct(cur, prev)
-
-
 def _month_names(m) -> DataFrame:
     return m.dim_date.select("year", "month", "month_name").distinct()
 
@@ -39,8 +34,8 @@ def monthly_growth(m) -> DataFrame:
     return monthly.select(
         "year", "month", F.col("_rev").cast("double").alias("monthly_revenue"),
         prev.cast("double").alias("prev_month_revenue"),
-        _growth_pct(F.col("_rev"), prev).alias("mom_growth_pct"),
-    )
+        growth_pct(F.col("_rev"), prev).alias("mom_growth_pct"),
+    ).orderBy("year", "month")
 
 
 def avg_order_value(m) -> DataFrame:
@@ -49,9 +44,11 @@ def avg_order_value(m) -> DataFrame:
 
 
 def top_months(m, n: int = 10) -> DataFrame:
-    monthly = m.fact_sales.groupBy("year", "month").agg(money_sum(NET).alias("monthly_revenue"))
-    top = monthly.orderBy(F.desc("monthly_revenue"), "year", "month").limit(n)
-    return top.join(_month_names(m), ["year", "month"]).select("year", "month", "month_name", "monthly_revenue")
+    monthly = m.fact_sales.groupBy("year", "month").agg(F.sum(NET).alias("_rev"))
+    order = [F.desc("_rev"), F.col("year"), F.col("month")]
+    top = monthly.orderBy(*order).limit(n)
+    return (top.join(_month_names(m), ["year", "month"]).orderBy(*order)
+            .select("year", "month", "month_name", F.col("_rev").cast("double").alias("monthly_revenue")))
 
 
 def _by_product(m, cols, measures) -> DataFrame:
@@ -61,13 +58,14 @@ def _by_product(m, cols, measures) -> DataFrame:
 
 def revenue_by_category(m) -> DataFrame:
     return (_by_product(m, ["category"], [F.sum(NET).alias("_rev")])
-            .groupBy("category").agg(money_sum("_rev").alias("total_revenue")))
+            .groupBy("category").agg(F.sum("_rev").alias("_rev")).orderBy(F.desc("_rev"), "category")
+            .select("category", F.col("_rev").cast("double").alias("total_revenue")))
 
 
 def top_profit_products(m, n: int = 20) -> DataFrame:
-    p = _by_product(m, ["product_id", "product_name"], [money_sum(PROFIT).alias("total_profit")])
-    return (p.orderBy(F.desc("total_profit"), "product_id").limit(n)
-            .select("product_id", "product_name", "total_profit"))
+    p = _by_product(m, ["product_id", "product_name"], [F.sum(PROFIT).alias("_profit")])
+    return (p.orderBy(F.desc("_profit"), "product_id").limit(n)
+            .select("product_id", "product_name", F.col("_profit").cast("double").alias("total_profit")))
 
 
 def declining_products(m) -> DataFrame:
@@ -84,7 +82,8 @@ def declining_products(m) -> DataFrame:
     return down.select("product_id", "product_name", "year", "month",
                        F.col("_rev").cast("double").alias("revenue"),
                        F.col("_prev").cast("double").alias("prev_revenue"),
-                       _growth_pct(F.col("_rev"), F.col("_prev")).alias("mom_change_pct"))
+                       growth_pct(F.col("_rev"), F.col("_prev")).alias("mom_change_pct")
+                       ).orderBy("product_id", "year", "month")
 
 
 def _by_store(m, cols, measures) -> DataFrame:
@@ -95,7 +94,8 @@ def _by_store(m, cols, measures) -> DataFrame:
 def revenue_by_store(m) -> DataFrame:
     s = _by_store(m, ["store_id", "store_name", "region"], [F.sum(NET).alias("_rev")])
     return (s.groupBy("store_id", "store_name", "region")
-            .agg(money_sum("_rev").alias("total_revenue")))
+            .agg(F.sum("_rev").alias("_rev")).orderBy(F.desc("_rev"), "store_id")
+            .select("store_id", "store_name", "region", F.col("_rev").cast("double").alias("total_revenue")))
 
 
 def top_margin_stores(m, n: int = 20) -> DataFrame:
@@ -111,13 +111,15 @@ def region_revenue_per_store(m) -> DataFrame:
     r = s.groupBy("region").agg(F.count_distinct("store_id").alias("store_count"),
                                 F.sum("_rev").alias("_rev"))
     return r.select("region", "store_count", F.col("_rev").cast("double").alias("total_revenue"),
-                    safe_div(F.col("_rev"), F.col("store_count")).alias("revenue_per_store"))
+                    safe_div(F.col("_rev"), F.col("store_count")).alias("revenue_per_store")
+                    ).orderBy("revenue_per_store", "region")
 
 
 def revenue_by_segment(m) -> DataFrame:
     per_c = m.fact_sales.groupBy("customer_key").agg(F.sum(NET).alias("_rev"))
     j = per_c.join(m.dim_customer.select("customer_key", "customer_segment"), "customer_key")
-    return j.groupBy("customer_segment").agg(money_sum("_rev").alias("total_revenue"))
+    return (j.groupBy("customer_segment").agg(F.sum("_rev").alias("_rev")).orderBy(F.desc("_rev"), "customer_segment")
+            .select("customer_segment", F.col("_rev").cast("double").alias("total_revenue")))
 
 
 def _orders_per_customer(fact: DataFrame) -> DataFrame:
@@ -155,7 +157,8 @@ def payment_failure_rate(m) -> DataFrame:
     p = m.silver_payments
     g = p.groupBy("payment_method").agg(F.count(F.lit(1)).alias("total_payments"),
                                         F.count_if(F.col("payment_status") == "Failed").alias("failed_payments"))
-    return g.withColumn("failure_rate_pct", pct_of_counts("failed_payments", "total_payments"))
+    return (g.withColumn("failure_rate_pct", pct_of_counts("failed_payments", "total_payments"))
+            .orderBy(F.desc("failure_rate_pct"), "payment_method"))
 
 
 def month_slice(m, year: int, month: int) -> DataFrame:
@@ -176,12 +179,15 @@ def distinct_orders_in_month(m, year: int, month: int) -> DataFrame:
 
 def revenue_profit_by_category(m) -> DataFrame:
     p = _by_product(m, ["category"], [F.sum(NET).alias("_n"), F.sum(PROFIT).alias("_p")])
-    return p.groupBy("category").agg(money_sum("_n").alias("total_net_sales"), money_sum("_p").alias("total_profit"))
+    c = p.groupBy("category").agg(F.sum("_n").alias("_n"), F.sum("_p").alias("_p"))
+    return c.orderBy(F.desc("_n"), "category").select(
+        "category", F.col("_n").cast("double").alias("total_net_sales"), F.col("_p").cast("double").alias("total_profit"))
 
 
 def monthly_net_sales(m) -> DataFrame:
     monthly = m.fact_sales.groupBy("year", "month").agg(money_sum(NET).alias("monthly_net_sales"))
-    return monthly.join(_month_names(m), ["year", "month"]).select("month_name", "year", "month", "monthly_net_sales")
+    return (monthly.join(_month_names(m), ["year", "month"])
+            .select("month_name", "year", "month", "monthly_net_sales").orderBy("year", "month"))
 
 
 def unknown_category_share(m) -> DataFrame:

@@ -14,8 +14,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Bronze appends replace only the partitions (batch ids) they write.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # Keep the driver's status store small for long sessions of many queries.
@@ -60,6 +58,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = _context(spark)
     if not d and sc is not None:
         d = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+    if not d and not (spark.conf.get("spark.master", "") or "").startswith("local"):
+        raise ValueError("spark.checkpoint.dir is not set: a cluster must name a folder that all executors share")
     if not d:
         # Unset (local runs and tests only): a stable folder under the local
         # temp directory.  On a cluster the session names a shared folder.

@@ -191,7 +191,7 @@ def _orders_base(t: dict[str, DataFrame]) -> DataFrame:
 def orders(t: dict[str, DataFrame], base: DataFrame | None = None) -> DataFrame:
     b = base if base is not None else _orders_base(t)
     k = F.col("_k")
-    cust = F.when(_mod(k, 100, 17), padded_id("CUST9", k, 6)).otherwise(padded_id("CUST", F.col("_c"), 7))
+    cust = F.when(_mod(k, 100, 17), padded_id("NOCUST", k, 6)).otherwise(padded_id("CUST", F.col("_c"), 7))
     out = b.select(
         "_k", "order_id", cust.alias("customer_id"), "store_id", "order_date", "order_timestamp",
         "order_status", "payment_method", "order_channel", "shipping_city", "total_amount",
@@ -204,7 +204,7 @@ def order_items(t: dict[str, DataFrame]) -> DataFrame:
     ok, pk, sk = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
     item_id = F.concat_ws("-", padded_id("OI", ok, 8), F.col("l_linenumber").cast("string"),
                           pk.cast("string"), sk.cast("string"))
-    product = F.when(_mod(ok + sk, 100, 33), padded_id("PROD9", pk % 100000, 5)).otherwise(padded_id("PROD", pk, 6))
+    product = F.when(_mod(ok + sk, 100, 33), padded_id("NOPROD", pk, 5)).otherwise(padded_id("PROD", pk, 6))
     qty = F.when(_mod(ok + pk, 200, 21), -F.col("qty")).otherwise(F.col("qty"))
     return li.select(
         item_id.alias("order_item_id"),

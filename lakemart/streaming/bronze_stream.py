@@ -29,7 +29,10 @@ def read_landing(spark: SparkSession, landing_dir: str, fmt: str, schema: Struct
 
 def _append_batch(target_dir: str, batch_prefix: str):
     def write(batch: DataFrame, batch_no: int) -> None:
-        bid = f"{batch_prefix}-{batch_no:06d}"
+        # the query's id lives in its checkpoint: a new checkpoint counts from 0
+        # again and must not replace the batches of an earlier query
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "query"
+        bid = f"{batch_prefix}-{query[:8]}-{batch_no:06d}"
         tagged = batch.withColumns({
             "ingestion_timestamp": F.current_timestamp(),
             "source_file": F.col("_metadata.file_name"),

@@ -112,7 +112,7 @@ def _ctes() -> list[str]:
   FROM orders LEFT JOIN ship ON o_custkey = c_custkey LEFT JOIN totals ON o_orderkey = t_orderkey)""")
     c.append("""b_orders0 AS (
   SELECT _k, order_id,
-         CASE WHEN _k % 100 = 17 THEN printf('CUST9%06d', _k) ELSE printf('CUST%07d', _c) END AS customer_id,
+         CASE WHEN _k % 100 = 17 THEN printf('NOCUST%06d', _k) ELSE printf('CUST%07d', _c) END AS customer_id,
          store_id, order_date, order_timestamp, order_status, payment_method, order_channel, shipping_city, total_amount
   FROM obase)""")
     c.append("""b_orders AS (
@@ -122,7 +122,7 @@ def _ctes() -> list[str]:
   SELECT concat_ws('-', printf('OI%08d', l_orderkey), CAST(l_linenumber AS VARCHAR),
                    CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR)) AS order_item_id,
          printf('ORD%08d', l_orderkey) AS order_id,
-         CASE WHEN (l_orderkey + l_suppkey) % 100 = 33 THEN printf('PROD9%05d', l_partkey % 100000)
+         CASE WHEN (l_orderkey + l_suppkey) % 100 = 33 THEN printf('NOPROD%05d', l_partkey)
               ELSE printf('PROD%06d', l_partkey) END AS product_id,
          CASE WHEN (l_orderkey + l_partkey) % 200 = 21 THEN -qty ELSE qty END AS quantity,
          unit_price, discount_percentage, tax_percentage, line_amount, cost_amount, 0 AS seq

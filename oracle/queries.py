@@ -88,7 +88,7 @@ Q["handoff_reconcile"] = ("SELECT *, (source_rows = target_rows) AND (source_tot
                               _recon("dim_store", "s_stores", "dim_store", None)]) + ")")
 
 _z = " + ".join(f"((({v} >> {i}) & 1) << {2 * i + j})"
-                for i in range(16) for j, v in enumerate(["CAST(store_key - 1 AS BIGINT)",
+                for i in range(31) for j, v in enumerate(["CAST(store_key - 1 AS BIGINT)",
                                                           "CAST(product_key - 1 AS BIGINT)"]))
 Q["zorder_value"] = f"SELECT order_item_id, store_key, product_key, CAST({_z} AS BIGINT) AS z_value FROM fact_sales"
 

@@ -37,5 +37,4 @@ def test_numeric_and_fk_injectors(spark):
     neg = faults.inject_invalid_numeric(df, "score", 0.01, "customer_id", negative=False)
     assert neg.filter("_picked_invalid_score").filter("score = 0").count() == 10
     fk = faults.inject_invalid_fk(df, "customer_id", 0.02, "customer_id", "CUST")
-    bad = fk.filter(F.col("customer_id").startswith("CUST")).collect()
-    assert len(bad) == 20 and all(900000 <= int(r.customer_id[4:]) <= 999998 for r in bad)
+    assert fk.filter(F.col("customer_id").startswith("NOCUST-")).count() == 20
