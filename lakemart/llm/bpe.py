@@ -263,6 +263,13 @@ def encode_decode(docs: DataFrame, path: str, text_col: str = "text", keep: tupl
     """
     def run(batches):
         bpe = load(path)
+        try:
+            yield from encoded(bpe, batches)
+        finally:
+            bpe.memory.clear()
+            bpe.word_memory.clear()
+
+    def encoded(bpe, batches):
         for b in batches:
             texts = b.column(b.num_columns - 1)
             lengths = pc.fill_null(pc.utf8_length(texts), 0).to_pylist()

@@ -13,6 +13,10 @@ class Memory:
     def __init__(self, size: int):
         self.size, self.new, self.old = size, {}, {}
 
+    def clear(self) -> None:
+        """Forget all entries: a task's end, as Spark keeps the worker for others."""
+        self.new, self.old = {}, {}
+
     def missing(self, keys: Iterable) -> list:
         """Keys that must be worked out; all others are in ``new`` afterwards."""
         if len(self.new) > self.size:

@@ -32,13 +32,13 @@ from lakemart.llm.packed import by_bucket, five_bytes, from_five_bytes, pack, te
 _U = np.uint64
 LENGTH, GRAM = 100, 32
 #: Positions handled at once; longer texts are cut into overlapping parts.
-PART = 1 << 21
+PART = 1 << 20
 #: Bytes of text whose segments are folded and sent together.
-FOLD_BYTES = 16 << 20
+FOLD_BYTES = 12 << 20
 #: Different segments of one anchor that go to one bucket; beyond it, strings go one by one.
 WIDE = 1 << 15
 #: Bytes of one Burrows-Wheeler transform, unless one anchor has more.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _inverses = np.ones(1, dtype=np.uint64)

@@ -148,6 +148,12 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     """
     def run(batches):
         counter = _counter(path)
+        try:
+            yield from counted_batches(counter, batches)
+        finally:
+            counter.memory.clear()
+
+    def counted_batches(counter, batches):
         for b in batches:
             ids, texts = b.column(0), b.column(2)
             out, group, size = [], [], 0
