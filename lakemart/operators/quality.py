@@ -63,12 +63,6 @@ def _rows(layer: str, table: str, agg: DataFrame, names: Sequence[str]) -> DataF
                       "total_records", "failed_records", status(F.col("failed_records")).alias("status"))
 
 
-
-
-
-
-
-
 @dataclass(frozen=True)
 class FkCheck:
     name: str
@@ -77,25 +71,36 @@ class FkCheck:
     parent_key: str | None = None
 
 
+def fk_rows(layer: str, table: str, df: DataFrame, fk: FkCheck) -> DataFrame:
+    """One FK check.  Rows are counted per key before the join (partial
+    aggregate), so a hot key costs one row per map task, and the parent is
+    reduced to its distinct keys, so repeated ones count nothing twice."""
+    per_key = df.groupBy(F.col(fk.key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    hits = per_key.join(parent_keys(fk.parent, fk.key, "_hit", fk.parent_key), F.col("_key") == F.col("__pk"), "left")
+    agg = hits.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_total"),
+                   F.coalesce(F.sum(F.when(F.col("_hit").isNull(), F.col("_n"))), F.lit(0)).alias("_f0"))
+    return _rows(layer, table, agg, [fk.name])
+
+
 def table_checks(layer: str, table: str, df: DataFrame, key: str | None = None,
                  scalars: Sequence[ScalarCheck] = (), fks: Sequence[FkCheck] = (),
                  dup_name: str | None = None) -> DataFrame:
-    """Every check of one table in one plan.
+    """Every check of one table: the row conditions and the duplicate excess in
+    one plan, and one narrow plan (one column of the table) per foreign key.
 
-    FK existence flags come first (left join to the distinct parent keys, so
-    repeated parent keys never multiply rows).  With a duplicate check, rows are then reduced per key by a
-    partial (map-side) aggregate -- a key holding a third of the table costs
-    one row per map task in the shuffle -- and a final global aggregate
-    yields total, duplicate excess and all failure counts at once.
+    With a duplicate check, rows are reduced per key by a partial (map-side)
+    aggregate -- a key holding a third of the table costs one row per map task
+    in the shuffle -- and a final global aggregate yields total, duplicate
+    excess and all failure counts at once.
     """
-    d = df
+    own = [_own_checks(layer, table, df, key, scalars, dup_name)] if scalars or key is not None else []
+    return union_all(own + [fk_rows(layer, table, df, fk) for fk in fks])
+
+
+def _own_checks(layer: str, table: str, d: DataFrame, key: str | None, scalars: Sequence[ScalarCheck],
+                dup_name: str | None) -> DataFrame:
     conds = [c.fails for c in scalars]
     names = [c.name for c in scalars]
-    for i, fk in enumerate(fks):
-        keys = parent_keys(fk.parent, fk.key, f"__hit{i}", fk.parent_key).withColumnRenamed("__pk", f"__pk{i}")
-        d = d.join(keys, F.col(fk.key) == F.col(f"__pk{i}"), "left").drop(f"__pk{i}")
-        conds.append(F.col(f"__hit{i}").isNull())
-        names.append(fk.name)
     if key is None:
         agg = d.agg(F.count(F.lit(1)).alias("_total"), *[F.count_if(c).alias(f"_f{i}") for i, c in enumerate(conds)])
         return _rows(layer, table, agg, names)

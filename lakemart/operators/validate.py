@@ -94,17 +94,19 @@ def parent_keys(parent: DataFrame, key: str, flag: str, parent_key: str | None =
 
 
 def with_parent(child: DataFrame, parent: DataFrame, key: str, flag: str,
-                carry: Sequence[str] = (), parent_key: str | None = None) -> DataFrame:
+                carry: Sequence[str] = (), parent_key: str | None = None, unique: bool = False) -> DataFrame:
     """Add ``flag`` (the parent row exists) and the parent columns ``carry``.
 
-    Without ``carry`` the parent is reduced to its distinct keys first.  With
+    Without ``carry`` the parent is reduced to its distinct keys first, unless
+    it is ``unique`` on its key: then nothing stands between the shuffle and the
+    join, so that a hot key of the child is split at run time.  With
     ``carry`` it is one left join to a parent that is unique on its key (a
     silver table): the same join validates the foreign key and brings along
     the parent attributes a later step needs, instead of a semi join now and
     an inner join later over the same shuffle keys.  NULL keys never match.
     """
     pk = parent_key or key
-    if not carry:
+    if not carry and not unique:
         p = parent_keys(parent, key, flag, pk)
         return child.join(p, F.col(key) == F.col("__pk"), "left").drop("__pk")
     p = parent.select(F.col(pk).alias("__pk"), *carry, F.lit(True).alias(flag))

@@ -20,6 +20,7 @@ from lakemart.operators.dedupe import dedupe_latest
 from lakemart.operators.layout import z_value
 from lakemart.plans import catalog, dq, metrics, star, timeintel
 from lakemart.sources import bronze, publish, testdata
+from lakemart.sources import schemas as S
 
 # Fixed parameters of the registered queries.
 SLICE_YEAR, SLICE_MONTH = 1998, 1
@@ -76,6 +77,30 @@ def _bronze_ingest(c: Ctx):
     return bronze.tag(raw, "customers.csv", BATCH_ID, with_timestamp=False)
 
 
+@register("bronze_landing")
+def _bronze_landing(c: Ctx):
+    """All six sources through the real path: landed as files, ingested as one
+    batch, read back; rows, keys and values that arrived."""
+    import uuid
+
+    from lakemart.plans import pipeline
+    from lakemart.session import scratch_root
+    root = f"{scratch_root(c.spark)}/landing-{uuid.uuid4().hex}"
+    raw = {t: df.drop("seq") for t, df in c.model.bronze.items()}
+    lake = pipeline.Lake(f"{root}/lake")
+    pipeline.ingest_landing(c.spark, bronze.write_raw_files(raw, f"{root}/files"), lake, BATCH_ID)
+    parts = []
+    for t, df in pipeline.read_bronze_lake(c.spark, lake).items():
+        there = sum((F.count(F.nullif(F.col(f).cast("string"), F.lit(""))) for f in S.SOURCES[t].fieldNames()), F.lit(0))
+        parts.append(df.groupBy("source_file", F.col("batch_id").cast("string").alias("batch_id"))
+                     .agg(F.count("*").alias("row_count"), F.count_distinct(S.KEYS[t]).alias("key_count"),
+                          there.cast("long").alias("value_count")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 @register("row_count_audit")
 def _row_count_audit(c: Ctx):
     m = c.model
@@ -228,24 +253,24 @@ KPI = ["total_sales", "total_profit", "total_orders", "avg_order_value", "profit
 register("kpi_overview")(lambda c: star.measures(c.model.fact_sales, (), KPI + ["units_sold", "avg_selling_price"]))
 register("repeat_customer_ratio")(lambda c: star.repeat_customer_ratio(c.model.fact_sales))
 register("customer_count_by_segment")(lambda c: star.customer_count_by_segment(c.model))
-register("kpi_by_subcategory")(lambda c: star.measures(_star(c, "dim_product"), ["subcategory"], KPI))
-register("sales_by_region")(lambda c: star.measures(_star(c, "dim_store"), ["region"]))
-register("sales_by_store")(lambda c: star.measures(_star(c, "dim_store"), ["store_id", "store_name"]))
+register("kpi_by_subcategory")(lambda c: star.measures_by(c.model, "dim_product", ["subcategory"], KPI))
+register("sales_by_region")(lambda c: star.measures_by(c.model, "dim_store", ["region"]))
+register("sales_by_store")(lambda c: star.measures_by(c.model, "dim_store", ["store_id", "store_name"]))
 register("daily_sales_trend")(lambda c: star.daily_sales_trend(c.model))
 register("sales_sliced")(lambda c: star.measures(
     star.slice_(_star(c, "dim_product", "dim_customer", "dim_store"), **SLICERS), ["region"],
     ["total_sales", "total_orders"]))
-register("profit_by_category")(lambda c: star.measures(_star(c, "dim_product"), ["category"],
+register("profit_by_category")(lambda c: star.measures_by(c.model, "dim_product", ["category"],
                                                        ["total_sales", "total_profit"]))
-register("sales_by_product")(lambda c: star.measures(_star(c, "dim_product"), ["product_id", "product_name"]))
-register("sales_by_customer")(lambda c: star.measures(_star(c, "dim_customer"), ["customer_id"]))
-register("store_performance")(lambda c: star.measures(_star(c, "dim_store"), ["store_id", "store_name"],
+register("sales_by_product")(lambda c: star.measures_by(c.model, "dim_product", ["product_id", "product_name"]))
+register("sales_by_customer")(lambda c: star.measures_by(c.model, "dim_customer", ["customer_id"]))
+register("store_performance")(lambda c: star.measures_by(c.model, "dim_store", ["store_id", "store_name"],
                                                       ["total_sales", "profit_margin_pct"]))
 register("units_sold")(lambda c: star.measures(c.model.fact_sales, (), ["units_sold", "avg_selling_price"]))
 register("revenue_by_channel")(lambda c: star.measures(c.model.fact_sales, ["order_channel"]))
 register("orders_by_status")(lambda c: star.measures(c.model.fact_sales, ["order_status"],
                                                      ["total_orders", "total_sales"]))
-register("product_margin")(lambda c: star.measures(_star(c, "dim_product"), ["product_id", "product_name"],
+register("product_margin")(lambda c: star.measures_by(c.model, "dim_product", ["product_id", "product_name"],
                                                    ["profit_margin_pct"]))
 register("repeat_vs_new")(lambda c: star.repeat_vs_new(c.model))
 register("customer_revenue_histogram")(lambda c: star.customer_revenue_histogram(c.model, HISTOGRAM_WIDTH))
@@ -258,7 +283,7 @@ def _ranked_products(c: Ctx, descending: bool, n: int = 10):
     ids = per_key.join(m.dim_product.select("product_key", "product_id"), "product_key")
     order = F.desc("_exact") if descending else F.asc("_exact")
     picked = ids.orderBy(order, "product_id").limit(n)
-    s = star.measures(_star(c, "dim_product"), ["product_id", "product_name"])
+    s = star.measures_by(c.model, "dim_product", ["product_id", "product_name"])
     return s.join(F.broadcast(picked.select("product_id", "_exact")), "product_id").orderBy(order, "product_id").drop("_exact")
 
 

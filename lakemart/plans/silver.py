@@ -105,10 +105,10 @@ def stores(bronze: DataFrame, cfg: SilverConfig = SilverConfig()) -> DataFrame:
 def orders(bronze: DataFrame, silver_customers: DataFrame, cfg: SilverConfig = SilverConfig(),
            silver_stores: DataFrame | None = None) -> DataFrame:
     d = _deduped(bronze, "orders", cfg)
-    d = V.with_parent(d, silver_customers, "customer_id", "_has_customer")
+    d = V.with_parent(d, silver_customers, "customer_id", "_has_customer", unique=True)
     rules = [V.Rule("invalid_customer_fk", V.missing("_has_customer"))]
     if cfg.validate_store and silver_stores is not None:
-        d = V.with_parent(d, silver_stores, "store_id", "_has_store")
+        d = V.with_parent(d, silver_stores, "store_id", "_has_store", unique=True)
         rules.append(V.Rule("invalid_store_fk", V.missing("_has_store")))
     c = V.classify(d, rules).drop("_has_customer", "_has_store")
     return c.withColumns({
@@ -145,7 +145,7 @@ def order_items(bronze: DataFrame, orders_parent: DataFrame, products_parent: Da
 
 def payments(bronze: DataFrame, silver_orders: DataFrame, cfg: SilverConfig = SilverConfig()) -> DataFrame:
     d = _deduped(bronze, "payments", cfg)
-    d = V.with_parent(d, silver_orders, "order_id", "_has_order")
+    d = V.with_parent(d, silver_orders, "order_id", "_has_order", unique=True)
     rules = V.positive("payment_amount", "invalid_payment_amount", cfg.null_policy) + [
         V.Rule("invalid_order_fk", V.missing("_has_order")),
     ]

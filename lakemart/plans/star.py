@@ -34,10 +34,13 @@ def star(m, how: str = "left", dims: Sequence[str] | None = None) -> DataFrame:
     broadcast when the model knows its (bounded) row count; ``dim_date`` is
     joined on (date_key, year, month) so a filter on calendar attributes
     prunes fact partitions dynamically."""
+    return _with_dims(m.fact_sales, m, how, dims or STAR_ATTRIBUTES)
+
+
+def _with_dims(f: DataFrame, m, how: str, dims: Sequence[str]) -> DataFrame:
     from lakemart.operators.joins import maybe_broadcast
     rows = getattr(m, "dim_rows", None) or {}
-    f = m.fact_sales
-    for name in dims or STAR_ATTRIBUTES:
+    for name in dims:
         key, attrs = STAR_ATTRIBUTES[name]
         keys = [key, "year", "month"] if name == "dim_date" else [key]
         d = getattr(m, name).select(*keys, *[F.col(src).alias(dst) for src, dst in attrs.items()])
@@ -85,6 +88,21 @@ def measures(df: DataFrame, by: Sequence[str] = (), which: Sequence[str] = ("tot
     return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
 
 
+#: Measures that sums per dimension key determine.
+ADDITIVE = frozenset(("total_sales", "total_profit", "profit_margin_pct", "units_sold", "avg_selling_price"))
+
+
+def measures_by(m, dim: str, by: Sequence[str], which: Sequence[str] = ("total_sales",)) -> DataFrame:
+    """Measures by attributes of one dimension.  Additive measures reduce the
+    fact to exact sums per surrogate key before the dimension is joined, so the
+    join never runs at item grain; distinct counts need the item-grain join."""
+    if not ADDITIVE.issuperset(which):
+        return measures(star(m, dims=[dim]), by, which)
+    key = STAR_ATTRIBUTES[dim][0]
+    sums = m.fact_sales.groupBy(key).agg(*[F.sum(c).alias(c) for c in ("net_sales", "profit", "quantity")])
+    return measures(_with_dims(sums, m, "left", [dim]), by, which)
+
+
 def repeat_customer_ratio(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Customers with more than one distinct order / customers, per group
     (0..1, NULL on an empty group).  First level: distinct (group, customer,

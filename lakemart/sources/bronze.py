@@ -13,7 +13,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DecimalType, StructType
 
 from lakemart.sources import schemas as S
 
@@ -25,19 +25,58 @@ def default_batch_id(now: datetime | None = None) -> str:
     return (now or datetime.now(timezone.utc)).strftime("%Y%m%d%H%M%S")
 
 
+#: Bronze columns for what the declared types cannot hold.
+CORRUPT, MALFORMED = "_corrupt_record", "_malformed_values"
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def declared(df: DataFrame, schema: StructType) -> DataFrame:
+    """The declared columns in order and type, matched by name (absent ones
+    NULL), then every other column as it is.  Values that a declared type
+    cannot hold exactly stay as text in ``_malformed_values``, a JSON object by
+    column (NULL when all values fit)."""
+    have = {f.name.lower(): f for f in df.schema}
+    cols, lost = [], []
+    for f in schema:
+        src = have.pop(f.name.lower(), None)
+        if src is None:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
+        raw = F.col(_quoted(src.name))
+        value = raw if src.dataType == f.dataType else raw.try_cast(f.dataType)
+        cols.append(value.alias(f.name))
+        if src.dataType != f.dataType:
+            wide = raw.cast("string").try_cast("decimal(38,12)") if isinstance(f.dataType, DecimalType) else value
+            lost.append(F.when(raw.isNotNull() & (value.isNull() | ~F.coalesce(wide == value, F.lit(False))),
+                               raw.cast("string")).alias(f.name))
+    cols += [F.col(_quoted(f.name)) for f in have.values()]
+    if lost:
+        cols.append(F.nullif(F.to_json(F.struct(*lost)), F.lit("{}")).alias(MALFORMED))
+    return df.select(*cols)
+
+
 def read_source(spark: SparkSession, path: str, fmt: str, schema: StructType | None = None,
                 infer: bool = False) -> DataFrame:
-    """CSV (header; declared schema, or inferred when ``infer``) or Parquet."""
-    r = spark.read.format(fmt)
-    if fmt == "csv":
-        r = r.option("header", "true")
-        if schema is not None and not infer:
-            r = r.schema(schema)
-        else:
-            r = r.option("inferSchema", "true")
-    elif schema is not None and not infer:
-        r = r.schema(schema)
-    return r.load(path)
+    """CSV with a header, or Parquet with its own schema; a declared schema is
+    matched by column name and loses nothing (see ``declared``).
+
+    CSV columns beyond the declared ones arrive as strings, and a line whose
+    number of fields differs from the header's is kept in ``_corrupt_record``.
+    Files of one path whose headers differ raise an error: land them as
+    separate batches.  ``infer`` (or no schema) takes Spark's inferred types.
+    """
+    if fmt != "csv":
+        df = spark.read.option("mergeSchema", "true").format(fmt).load(path)
+        return df if schema is None or infer else declared(df, schema)
+    r = spark.read.option("header", "true")
+    if schema is None or infer:
+        return r.option("inferSchema", "true").csv(path)
+    texts = r.csv(path).schema.add(CORRUPT, "string")
+    r = r.option("enforceSchema", "false").option("columnNameOfCorruptRecord", CORRUPT)
+    return declared(r.schema(texts).csv(path), schema)
 
 
 def tag(df: DataFrame, source_file: str | None, batch_id: str, with_timestamp: bool = True) -> DataFrame:

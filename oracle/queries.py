@@ -60,6 +60,11 @@ Q["scan_parquet"] = ("SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate FR
                      "WHERE l_shipdate >= TIMESTAMP '2000-01-01'")
 Q["bronze_ingest"] = (f"SELECT {cols(SILVER_COLS['customers'])}, 'customers.csv' AS source_file, "
                       "'20240101000000' AS batch_id FROM b_customers")
+Q["bronze_landing"] = "\nUNION ALL ".join(
+    f"SELECT '{t}.{S.FORMATS[t]}' AS source_file, '20240101000000' AS batch_id, COUNT(*) AS row_count, "
+    f"COUNT(DISTINCT {S.KEYS[t]}) AS key_count, "
+    + " + ".join(f"COUNT(NULLIF(CAST({f} AS VARCHAR), ''))" for f in S.SOURCES[t].fieldNames())
+    + f" AS value_count FROM b_{t}" for t in S.SOURCES)
 
 _audit = []
 for t in S.SOURCES:

@@ -72,3 +72,45 @@ def test_file_path_end_to_end_two_batches(spark, tmp_dir):
     dup = dqr.filter("layer = 'bronze' AND check_name = 'Duplicate order_id'").first()
     assert dup.failed_records == 1500
     assert dqr.filter("layer = 'silver' AND failed_records > 0").count() == 0
+
+
+def _csv(path, *lines):
+    os.makedirs(path)
+    with open(os.path.join(path, "part.csv"), "w") as f:
+        f.write("\n".join(lines) + "\n")
+    return path
+
+
+def test_landing_loses_nothing(spark, tmp_dir):
+    """Swapped and added CSV columns, a malformed value, a line with a field too
+    many, and an added Parquet column all reach bronze."""
+    lake = pipeline.Lake(os.path.join(tmp_dir, "lake"))
+    stores = _csv(os.path.join(tmp_dir, "s1"), "store_name,store_id,city,opening_date", "Main,S1,Ulm,2020-01-02")
+    pipeline.ingest_landing(spark, {"stores": stores}, lake, "B1")
+    stores = _csv(os.path.join(tmp_dir, "s2"), "store_id,floor area.m2,store_name,opening_date",
+                  "S2,120,North,soon", "S3,80,South,2021-05-06,left over")
+    orders = os.path.join(tmp_dir, "orders.parquet")
+    (spark.createDataFrame([("O1", "12.345", "blue"), ("O2", "7.10", "red"), ("O3", None, None)],
+                           "order_id string, total_amount string, colour string").write.parquet(orders))
+    pipeline.ingest_landing(spark, {"stores": stores, "orders": orders}, lake, "B2")
+    got = {r.store_id: r for r in bronze.read_bronze(spark, lake.path("bronze", "stores")).collect()}
+    assert (got["S1"].store_name, got["S1"].city, str(got["S1"].opening_date)) == ("Main", "Ulm", "2020-01-02")
+    assert got["S1"]["floor area.m2"] is None and got["S2"]["floor area.m2"] == "120"
+    assert got["S2"].opening_date is None and got["S2"][bronze.MALFORMED] == '{"opening_date":"soon"}'
+    assert "left over" in got["S3"][bronze.CORRUPT] and got["S3"].store_name == "South"
+    assert got["S1"][bronze.MALFORMED] is None and got["S1"][bronze.CORRUPT] is None
+    o = {r.order_id: r for r in bronze.read_bronze(spark, lake.path("bronze", "orders")).collect()}
+    assert [o[k].colour for k in ("O1", "O2", "O3")] == ["blue", "red", None]
+    assert str(o["O2"].total_amount) == "7.10" and o["O2"][bronze.MALFORMED] is None
+    assert o["O1"][bronze.MALFORMED] == '{"total_amount":"12.345"}'
+    assert o["O3"].total_amount is None and o["O3"][bronze.MALFORMED] is None
+    assert set(S.ORDERS.fieldNames()) <= set(bronze.read_bronze(spark, lake.path("bronze", "orders")).columns)
+
+
+def test_files_with_different_headers_are_refused(spark, tmp_dir):
+    import pytest
+    path = _csv(os.path.join(tmp_dir, "s"), "store_id,store_name", "S1,Main")
+    with open(os.path.join(path, "other.csv"), "w") as f:
+        f.write("store_name,store_id\nNorth,S2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        bronze.read_source(spark, path, "csv", S.STORES).collect()

@@ -63,3 +63,52 @@ def test_hot_key_dq_counts(spark):
     assert got["Duplicate order_item_id"] == N // 3 - 1
     assert got["Invalid product_id FK"] == N // 3
     assert got["Negative quantity"] == items.filter("quantity < 0").count()
+
+
+def test_hot_key_of_a_unique_parent_is_split(spark):
+    """Nothing stands between the shuffle and the join, so AQE splits the hot key."""
+    from lakemart.operators import validate as V
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",)}
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k"}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        child = spark.range(0, 400_000, 1, 8).select(
+            "id", F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.col("id").cast("string")).alias("k"))
+        parent = spark.range(0, 50_000, 1, 4).select(F.col("id").cast("string").alias("k")).union(
+            spark.createDataFrame([("HOT",)], "k string"))
+        d = V.with_parent(child, parent, "k", "hit", unique=True)
+        out = d.groupBy("hit").count()
+        got = {r.hit: r["count"] for r in out.collect()}
+        known = 133_334 + sum(1 for i in range(50_000) if i % 3)
+        assert got == {True: known, None: 400_000 - known}
+        d.collect()
+        assert "skew=true" in d._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in confs:
+            spark.conf.unset(k)
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+
+
+def test_additive_measures_are_summed_before_the_join(spark):
+    from lakemart.plans import star
+
+    class M:
+        fact_sales = spark.range(1000).select((F.col("id") % 7).alias("customer_key"),
+                                              F.lit(2).cast("decimal(18,2)").alias("net_sales"),
+                                              F.lit(1).cast("decimal(18,2)").alias("profit"), F.lit(3).alias("quantity"))
+        dim_customer = spark.range(6).select(F.col("id").alias("customer_key"), *[
+            F.concat(F.lit("x"), F.col("id") % 2).alias(c) for c in
+            ("customer_id", "customer_segment", "city", "state", "gender", "customer_status")])
+
+    out = star.measures_by(M, "dim_customer", ["customer_segment"], ["total_sales", "units_sold", "profit_margin_pct"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.rindex("Aggregate [customer_key")
+    got = {r.customer_segment: (r.total_sales, r.units_sold, r.profit_margin_pct) for r in out.collect()}
+    per = [sum(1 for i in range(1000) if i % 7 == k) for k in range(7)]
+    want = {"x0": per[0] + per[2] + per[4], "x1": per[1] + per[3] + per[5], None: per[6]}
+    assert got == {k: (2.0 * n, 3 * n, 0.5) for k, n in want.items()}
