@@ -1,7 +1,7 @@
 """Fault injection for tests: exactly ``int(n * pct)`` rows get a defect.
 
-Rows are picked by the smallest ``xxhash64(seed, key)`` -- independent of
-partitioning and repeatable -- using the distributed dense ranking of
+Rows are picked by the smallest MD5 of (seed, key, copy number) -- independent
+of partitioning, repeatable, and the same in any engine -- using the distributed dense ranking of
 ``keys.with_dense_key`` (no row funnels through one task); ``n`` is a scalar
 subquery, never collected.  Every injector returns the frame plus a boolean
 column ``_picked_<label>`` consumed by ``issue_report``.
@@ -19,12 +19,24 @@ from pyspark.sql import functions as F
 from lakemart.operators.keys import with_dense_key
 
 
+#: Number of a row's copy, present once duplicates were injected; dropped with the flags.
+COPY = "_picked__copy"
+
+
+def _copy_no(df: DataFrame) -> Column:
+    return F.col(COPY) if COPY in df.columns else F.lit(0)
+
+
+def _digest(df: DataFrame, seed: int, key: str) -> Column:
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string"), _copy_no(df).cast("string")))
+
+
 def _rank_flag(df: DataFrame, key: str, pct: float, seed: int, flag: str) -> DataFrame:
     n = df.agg(F.count(F.lit(1))).scalar()
-    h = df.withColumn("_h", F.xxhash64(F.lit(seed), F.col(key)))
-    ranked = with_dense_key(h, ["_h", key], "_rank")
+    h = df.withColumns({"_h": _digest(df, seed, key), "_c": _copy_no(df)})
+    ranked = with_dense_key(h, ["_h", key, "_c"], "_rank")
     k = F.floor(n.cast("decimal(20,0)") * F.lit(Decimal(str(pct))))  # exact: int(n * pct)
-    return ranked.withColumn(flag, F.col("_rank") <= k).drop("_h", "_rank")
+    return ranked.withColumn(flag, F.col("_rank") <= k).drop("_h", "_c", "_rank")
 
 
 def inject_nulls(df: DataFrame, col: str, pct: float, key: str, seed: int = 42, label: str | None = None) -> DataFrame:
@@ -34,20 +46,23 @@ def inject_nulls(df: DataFrame, col: str, pct: float, key: str, seed: int = 42,
 
 
 def inject_duplicates(df: DataFrame, pct: float, key: str, seed: int = 42, label: str = "duplicates") -> DataFrame:
-    """Picked rows appear twice (exact copies); one pass via explode."""
+    """Picked rows appear twice; one pass via explode.  The copies are equal, but
+    numbered, so that a later injector picks each on its own."""
     flag = f"_picked_{label}"
     d = _rank_flag(df, key, pct, seed, flag)
     copies = F.when(F.col(flag), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     d = d.withColumn("_copy", F.explode(copies))
     # only the first copy carries the flag, so the report counts injected rows once
-    return d.withColumn(flag, F.col(flag) & (F.col("_copy") == 0)).drop("_copy")
+    d = d.withColumn(flag, F.col(flag) & (F.col("_copy") == 0))
+    number = _copy_no(df) * 2 + F.col("_copy")
+    return d.withColumn(COPY, number).drop("_copy")
 
 
 def inject_inconsistent_case(df: DataFrame, col: str, pct: float, key: str, seed: int = 42,
                              label: str | None = None) -> DataFrame:
     flag = f"_picked_{label or 'case_' + col}"
     d = _rank_flag(df, key, pct, seed, flag)
-    style = F.pmod(F.xxhash64(F.lit(seed + 1), F.col(key)), F.lit(3))
+    style = F.pmod(F.ascii(_digest(df, seed + 1, key)), F.lit(3))
     restyled = F.when(style == 0, F.upper(col)).when(style == 1, F.lower(col)).otherwise(F.initcap(col))
     return d.withColumn(col, F.when(F.col(flag), restyled).otherwise(F.col(col)))
 
@@ -66,7 +81,7 @@ def inject_invalid_fk(df: DataFrame, col: str, pct: float, key: str, prefix: str
     however many parents there are."""
     flag = f"_picked_{label or 'fk_' + col}"
     d = _rank_flag(df, key, pct, seed, flag)
-    fake = F.concat(F.lit(f"NO{prefix}-"), F.hex(F.xxhash64(F.lit(seed + 2), F.col(key))))
+    fake = F.concat(F.lit(f"NO{prefix}-"), F.upper(F.substring(_digest(df, seed + 2, key), 1, 16)))
     return d.withColumn(col, F.when(F.col(flag), fake).otherwise(F.col(col)))
 
 
@@ -82,18 +97,18 @@ class Issue:
 # Per-table defect plans (rates as fractions; order matters --
 # duplicates are injected first, so later defects can hit only one copy).
 ISSUE_PLANS: dict[str, list[Issue]] = {
-    "customers": [Issue("duplicates", 0.01, label="Duplicate customer records"),
-                  Issue("nulls", 0.02, "city", label="Missing customer city"),
-                  Issue("case", 0.03, "city", label="Inconsistent capitalization in city")],
-    "products": [Issue("nulls", 0.02, "category", label="Missing product category"),
-                 Issue("negative", 0.01, "selling_price", label="Invalid (negative) product price")],
-    "orders": [Issue("duplicates", 0.005, label="Duplicate order IDs"),
-               Issue("fk", 0.01, "customer_id", "CUST", label="Invalid foreign key in customer_id")],
-    "order_items": [Issue("negative", 0.005, "quantity", label="Negative quantity"),
-                    Issue("fk", 0.01, "product_id", "PROD", label="Invalid foreign key in product_id")],
-    "payments": [Issue("duplicates", 0.01, label="Duplicate payment transactions"),
-                 Issue("negative", 0.01, "payment_amount", label="Invalid (negative/zero) payment amount"),
-                 Issue("nulls", 0.02, "transaction_reference", label="Missing transaction reference")],
+    "customers": [Issue("duplicates", 0.01, label="Customers landed twice"),
+                  Issue("nulls", 0.02, "city", label="Customers without city"),
+                  Issue("case", 0.03, "city", label="City spelled in mixed case")],
+    "products": [Issue("nulls", 0.02, "category", label="Products without category"),
+                 Issue("negative", 0.01, "selling_price", label="Products priced below zero")],
+    "orders": [Issue("duplicates", 0.005, label="Orders landed twice"),
+               Issue("fk", 0.01, "customer_id", "CUST", label="Orders of an unknown customer")],
+    "order_items": [Issue("negative", 0.005, "quantity", label="Items of negative quantity"),
+                    Issue("fk", 0.01, "product_id", "PROD", label="Items of an unknown product")],
+    "payments": [Issue("duplicates", 0.01, label="Payments landed twice"),
+                 Issue("negative", 0.01, "payment_amount", label="Payments below zero"),
+                 Issue("nulls", 0.02, "transaction_reference", label="Payments without reference")],
 }
 
 

@@ -119,12 +119,24 @@ def _row_count_audit(c: Ctx):
 
 @register("handoff_reconcile")
 def _handoff(c: Ctx):
-    m = c.model
+    """Gold tables exported, read back from the export, and held against silver."""
+    import uuid
+
+    from lakemart.session import scratch_root
+    m, root = c.model, f"{scratch_root(c.spark)}/export-{uuid.uuid4().hex}"
+
+    def handed(table: str) -> DataFrame:
+        publish.export_table(getattr(m, table), f"{root}/{table}")
+        back = c.spark.read.parquet(f"{root}/{table}")
+        if not publish.schema_matches(getattr(m, table), back):
+            raise ValueError(f"the export of {table} changed its schema")
+        return back
+
     return publish.reconcile([
-        ("fact_sales", m.silver_order_items, m.fact_sales, "quantity"),
-        ("dim_customer", m.silver_customers, m.dim_customer, None),
-        ("dim_product", m.silver_products, m.dim_product, "selling_price"),
-        ("dim_store", m.silver_stores, m.dim_store, None),
+        ("fact_sales", m.silver_order_items, handed("fact_sales"), "quantity"),
+        ("dim_customer", m.silver_customers, handed("dim_customer"), None),
+        ("dim_product", m.silver_products, handed("dim_product"), "selling_price"),
+        ("dim_store", m.silver_stores, handed("dim_store"), None),
     ])
 
 
@@ -301,10 +313,33 @@ def _inject_dups(c: Ctx):
     return faults.strip_flags(faults.inject_duplicates(c.model.silver_customers, 0.01, "customer_id"))
 
 
+@register("inject_nulls")
+def _inject_nulls(c: Ctx):
+    from lakemart.operators import faults
+    return faults.strip_flags(faults.inject_nulls(c.model.silver_customers, "city", 0.02, "customer_id"))
+
+
+@register("inject_inconsistent_case")
+def _inject_case(c: Ctx):
+    from lakemart.operators import faults
+    return faults.strip_flags(faults.inject_inconsistent_case(c.model.silver_customers, "city", 0.03, "customer_id"))
+
+
+@register("inject_invalid_numeric")
+def _inject_numeric(c: Ctx):
+    from lakemart.operators import faults
+    return faults.strip_flags(faults.inject_invalid_numeric(c.model.silver_order_items, "quantity", 0.005, "order_item_id"))
+
+
+@register("inject_invalid_fk")
+def _inject_fk(c: Ctx):
+    from lakemart.operators import faults
+    return faults.strip_flags(faults.inject_invalid_fk(c.model.silver_orders, "customer_id", 0.01, "order_id", "CUST"))
+
+
 @register("fault_injection_report")
 def _fault_report(c: Ctx):
     from lakemart.operators import faults
-    from lakemart.sources import schemas as S
     parts = []
     for table, issues in faults.ISSUE_PLANS.items():
         injected = faults.apply_issues(c.model.silver(table), S.KEYS[table], issues)

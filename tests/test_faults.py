@@ -16,8 +16,8 @@ def test_exact_counts_and_report(spark):
     plan = faults.ISSUE_PLANS["customers"]
     out = faults.apply_issues(df, "customer_id", plan)
     rep = {r.issue: r.rows_affected for r in faults.issue_report(out, "customers", plan).collect()}
-    assert rep == {"Duplicate customer records": 20, "Missing customer city": 40,
-                   "Inconsistent capitalization in city": 60}
+    assert rep == {"Customers landed twice": 20, "Customers without city": 40,
+                   "City spelled in mixed case": 60}
     clean = faults.strip_flags(out)
     assert clean.count() == 2020 and clean.filter(F.col("city").isNull()).count() == 40
     dup = Q.table_checks("raw", "customers", clean, "customer_id", [Q.ScalarCheck("Null city", Q.is_null("city"))])
@@ -38,3 +38,12 @@ def test_numeric_and_fk_injectors(spark):
     assert neg.filter("_picked_invalid_score").filter("score = 0").count() == 10
     fk = faults.inject_invalid_fk(df, "customer_id", 0.02, "customer_id", "CUST")
     assert fk.filter(F.col("customer_id").startswith("NOCUST-")).count() == 20
+
+
+def test_copies_are_hit_on_their_own(spark):
+    d = faults.inject_duplicates(_customers(spark), 0.1, "customer_id")
+    d = faults.strip_flags(faults.inject_nulls(d, "city", 0.2, "customer_id", seed=7))
+    assert not [c for c in d.columns if c.startswith("_")]
+    pairs = d.groupBy("customer_id").agg(F.count("*").alias("n"), F.count_if(F.col("city").isNull()).alias("nulls"))
+    got = {r.nulls: r["count"] for r in pairs.filter("n = 2").groupBy("nulls").count().collect()}
+    assert sum(got.values()) == 200 and got.get(1, 0) > 20

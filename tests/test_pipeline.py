@@ -87,6 +87,5 @@ def test_entry_smoke(spark):
     import __spark_entry__ as E
     out = E.entry(spark).collect()
     assert len(out) == 7 and {r.category for r in out} >= {"Economy", "Unknown"}
-    # only the hash-picked fault injection has no SQL oracle (DuckDB lacks xxhash64)
-    assert set(E._q.REGISTRY) - set(E.oracle_sql()) == {"inject_duplicates"}
+    assert set(E._q.REGISTRY) - set(E.oracle_sql()) == set()
     assert set(E.oracle_sql()) <= set(E.queries())
