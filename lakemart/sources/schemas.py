@@ -11,9 +11,6 @@ CUSTOMER_STATUSES = ["Active", "Inactive"]
 PRODUCT_STATUSES = ["Active", "Discontinued"]
 ORDER_STATUSES = ["Completed", "Cancelled", "Returned", "Pending"]
 PAYMENT_STATUSES = ["Successful", "Failed", "Refunded", "Pending"]
-PAYMENT_METHODS = ["Credit Card", "Debit Card", "UPI", "Cash", "Wallet"]
-ORDER_CHANNELS = ["Store", "Website", "Mobile App"]
-STORE_TYPES = ["Mall", "High Street", "Supermarket", "Outlet"]
 MISSING_REFERENCE = "MISSING_REFERENCE"
 UNKNOWN = "Unknown"
 
