@@ -10,8 +10,9 @@ out again, and where that estimate turns negative the step goes the other way,
 so the model cannot fit the unlabelled sample by calling all of it clean.
 
 Features are the presence of words and of word beginnings (hashed), chosen
-where they are over-represented among the examples.  Training reads samples of
-bounded size; every whole text is scored.
+where they are over-represented among the examples; a group of near copies
+counts as one example.  Training reads samples of bounded size; every whole
+text is scored.
 """
 
 from __future__ import annotations
@@ -21,16 +22,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.arrays import IS_SPACE, text_slices, word_beginnings
+from lakemart.llm.arrays import IS_SPACE, distinct_pairs, text_slices, word_beginnings
+from lakemart.llm.jaccard_join import near_groups
 from lakemart.llm.packed import saved
 
-#: Bounds of the two training samples, in documents, and of the chosen features
-#: (which are a quarter as many as the examples at most: copies of an example
-#: bring words that only they have).
-EXAMPLES, UNLABELLED, FEATURES = 4096, 8192, 4096
+#: Bounds of the two training samples, in documents.
+EXAMPLES, UNLABELLED = 4096, 8192
 #: Lengths in bytes of the word beginnings used beside whole words.
 BEGINNINGS = (4, 5, 6)
-#: A chosen feature stands in so many examples at least, and its frequency
+#: A feature is chosen if it stands in so many examples at least, and its frequency
 #: among them is so many standard errors and times above the unlabelled one.
 LEAST_DOCS, LEAST_SIGMA, LEAST_RATIO = 4, 4.0, 3.0
 
@@ -126,29 +126,26 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: int = 1, prior: float | No
               .distinct().orderBy(by_hash).limit(UNLABELLED))
     chosen = examples.withColumn("p", F.lit(1)).join(others.withColumn("u", F.lit(1)), "doc_id", "full")
     # at most EXAMPLES + UNLABELLED ids
-    sample = saved(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "p", "u"), spark)
-    n_p, n_u = sample.agg(F.count("p"), F.count("u")).first()
+    sample = saved(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), spark)
+    # copies of an example bring words that only they have: a group of copies is one example
+    copies = near_groups(sample.where("p = 1"), words=5, percent=80).select("doc_id", F.col("component_id").alias("example")).distinct()
+    sample = saved(sample.join(F.broadcast(copies), "doc_id", "left").select("text", "example", "u"), spark)
+    n_p, n_u = sample.agg(F.count_distinct("example"), F.count("u")).first()
 
     def frequencies(batches):
         for b in batches:
-            p, u = (np.asarray(b.column(k).is_valid()) for k in (1, 2))
+            example, u = b.column(1), np.asarray(b.column(2).is_valid())
             for row, past, data, off in text_slices(b.column(0)):
-                doc, h = document_features(data, off)
-                order = np.lexsort((h, doc))
-                doc, h = doc[order], h[order]
-                keep = np.ones(len(doc), bool)
-                keep[1:] = (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])
-                doc, h = doc[keep] + row, h[keep]
-                f, at = np.unique(h, return_inverse=True)
-                np_, nu = np.bincount(at, p[doc], len(f)), np.bincount(at, u[doc], len(f))
-                yield pa.record_batch([pa.array(f.view(np.int64)), pa.array(np_.astype(np.int64)), pa.array(nu.astype(np.int64))],
-                                      names=["f", "p", "u"])
-
-    counts = sample.mapInArrow(frequencies, "f long, p long, u long").groupBy("f").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
+                doc, h = distinct_pairs(*document_features(data, off))
+                doc, f = doc + row, pa.array(h.view(np.int64))
+                yield pa.record_batch([f, example.take(pa.array(doc)), pa.array(u[doc].astype(np.int64))], names=["f", "example", "u"])
+
+    counts = (sample.mapInArrow(frequencies, "f long, example long, u long").groupBy("f", "example").agg(F.sum("u").alias("u"))
+              .groupBy("f").agg(F.count("example").alias("p"), F.sum("u").alias("u")))
     rate_p, rate_u = F.col("p") / F.lit(max(n_p, 1)), (F.col("u") + 1) / F.lit(n_u + 1)
     error = F.sqrt(rate_u * (1 - rate_u) / F.lit(max(n_p, 1)))
     best = (counts.where((F.col("p") >= LEAST_DOCS) & (rate_p >= LEAST_RATIO * rate_u) & (rate_p - rate_u >= LEAST_SIGMA * error))
-            .orderBy(((rate_p - rate_u) / error).desc(), "f").limit(min(FEATURES, max(16, n_p // 4))).select("f").collect())
+            .select("f").collect())
     model = Model(np.array([r["f"] for r in best], dtype=np.int64).view(np.uint64))
     if not best:
         return model
@@ -160,11 +157,16 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: int = 1, prior: float | No
                 ends = np.searchsorted(doc, np.arange(past - row + 1))
                 got = [at[ends[k]: ends[k + 1]] for k in range(past - row)]
                 yield pa.record_batch([pa.array(got, pa.list_(pa.int64())), b.column(1).slice(row, past - row),
-                                       b.column(2).slice(row, past - row)], names=["at", "p", "u"])
-
-    rows = sample.mapInArrow(presence, "at array<long>, p int, u int").collect()
-    rows.sort(key=lambda r: (r["at"], r["p"] or 0, r["u"] or 0))  # the same sums in any order of arrival
-    model.train([np.array(r["at"], np.int64) for r in rows if r["p"]], [np.array(r["at"], np.int64) for r in rows if r["u"]], prior)
+                                       b.column(2).slice(row, past - row)], names=["at", "example", "u"])
+
+    rows = sample.mapInArrow(presence, "at array<long>, example long, u int").collect()
+    rows.sort(key=lambda r: (r["at"], r["u"] or 0))  # the same sums in any order of arrival
+    examples: dict[int, list[int]] = {}
+    for r in rows:
+        if r["example"] is not None:
+            examples.setdefault(r["example"], []).extend(r["at"])
+    model.train([np.unique(np.array(examples[k], np.int64)) for k in sorted(examples)],
+                [np.array(r["at"], np.int64) for r in rows if r["u"]], prior)
     return model
 
 

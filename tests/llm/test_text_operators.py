@@ -161,3 +161,22 @@ def test_toxicity_on_held_out_documents(spark):
     assert toxicity.score(docs.limit(0), model).count() == 0
     none = toxicity.fit(docs, marks.limit(0))
     assert toxicity.score(docs, none).where("score > 0.1").count() == 0
+
+
+def test_toxicity_keeps_all_words_of_few_examples(spark):
+    rng = np.random.default_rng(7)
+    common, bad = [f"w{i}" for i in range(300)], [f"{c}ile" for c in "abcdefghijklmnopqrstuvwx"]
+    ids = [r.id for r in spark.range(1000).where(toxicity.fold_of(F.col("id")) != 1).collect()]
+    rows = [(i, " ".join([*rng.choice(common, 60), *([bad[(k + j) % 24] for j in range(8)] if k < 32 else [])])) for k, i in enumerate(ids)]
+    labels = [(i, int(k < 32)) for k, i in enumerate(ids)]
+    # copies of one example, exact and with another last word: their rare words are no features
+    copied = " ".join(f"only{j}" for j in range(40))
+    rows += [(5000 + k, f"{copied} last{k // 4}") for k in range(12)]
+    labels += [(5000 + k, 1) for k in range(12)]
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+
+    def present(word):
+        data = np.frombuffer(word.encode(), np.uint8)
+        return len(model.present(data, np.array([0, len(data)]))[1])
+
+    assert all(present(w) for w in bad) and not any(present(f"only{j}") for j in range(40))
