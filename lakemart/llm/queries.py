@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from lakemart.llm import bpe, chat, decontaminate, html_extract, jaccard_join, sharding, suffix_dedup, token_counts, topk, toxicity
+from lakemart.llm.packed import scratch_folder
 
 
 def tokenizer_path(name: str) -> str:
@@ -49,11 +51,12 @@ def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
+    path = scratch_folder(spark)
+    sharding.write_shards(docs, path, "doc_id", 16)
+    out = spark.read.schema(StructType([*docs.schema, StructField("slot", LongType()), StructField("shard", IntegerType())])).parquet(path)
     text = F.coalesce("text", F.lit(""))
-    records = docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
-                          F.crc32(text.cast("binary")).alias("text_crc32"))
-    out = sharding.shuffled_shards(records, "doc_id", 16)
-    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+    return out.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
+                      F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
                       F.lit(None).cast("int").alias("grown_shard"))
 
 

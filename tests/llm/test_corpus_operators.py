@@ -197,6 +197,26 @@ def test_shards_differ_by_one_row_and_have_no_gaps(spark, tmp_dir, monkeypatch):
     assert spark.read.parquet(f"{tmp_dir}/out").groupBy("shard").count().count() == 4
 
 
+def test_sharding_writes_whole_records(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(sharding, "BUCKET_BYTES", 20_000)
+    written, write = [], sharding.write_shards
+    monkeypatch.setattr(sharding, "write_shards", lambda records, path, *a, **b: (written.append(path), write(records, path, *a, **b)))
+    docs = spark.read.parquet(f"{SF0001}/documents.parquet")
+    got = QUERIES["op5_sharding"](spark, SF0001).collect()
+    out = spark.read.parquet(written[0])
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(key, out.select(*docs.columns).collect())) == sorted(map(key, docs.collect()))
+    assert sorted((r.doc_id, r.shard, r.slot) for r in got) == sorted((r.doc_id, r.shard, r.slot) for r in out.collect())
+    # buckets follow the bytes of the texts, long ones too, and files follow each other in slot order
+    rows = [(i % 5, "x" * (3000 if i % 50 == 0 else 300)) for i in range(400)]
+    write(spark.createDataFrame(rows, "id long, text string").repartition(3), f"{tmp_dir}/out", "id", 4)
+    files = spark.read.parquet(f"{tmp_dir}/out").select("*", F.input_file_name().alias("file")).collect()
+    assert len(files) == 400 and {len(r.text) for r in files} == {300, 3000}
+    assert len({r.file.split("/")[-1].split("-")[1] for r in files}) == -(-(400 * 24 + 392 * 300 + 8 * 3000) // 20_000)
+    for shard in range(4):
+        assert [r.slot for r in sorted((r for r in files if r.shard == shard), key=lambda r: (r.file, r.slot))] == list(range(100))
+
+
 def test_decontamination_equals_brute_force(spark, monkeypatch):
     rng = np.random.default_rng(8)
     word = lambda n: [f"w{x}" for x in rng.integers(0, 800, n)]
