@@ -15,13 +15,17 @@ expansion on a Burrows-Wheeler transform of each bucket (see ``bwt``).
 
 Nothing passes through one task whole: buckets have bounded text, and an
 anchor with very many different segments sends its strings one by one, each to
-the bucket of its own hash.
+the bucket of its own hash.  Rows are dealt by id and text together, so that only
+equal rows meet, and of these each task sends one text: the others are removed
+whole and go anywhere, without their texts.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -130,9 +134,9 @@ def _rows(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.binary())], schema=_SCHEMA)
 
 
-def _part(doc: np.ndarray, n: int) -> np.ndarray:
-    """The part of each document, as pmod(id, n) has it."""
-    return doc % n
+def _part(doc: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
+    """The part of each document, by its id and the hash of its text."""
+    return (doc ^ text) % n
 
 
 def _prime(n: int) -> int:
@@ -142,9 +146,41 @@ def _prime(n: int) -> int:
     return n
 
 
+def _deal(n: int, fetched: bool):
+    """Documents (id, text hash, text, other columns) with their part and a
+    number of removed bytes.  Of equal rows of a task all but the first lose
+    their text, and all of its bytes count as removed.  Those and texts of less
+    than LENGTH bytes need to meet no others: they are spread evenly, or left
+    out where only texts to be ``fetched`` are wanted."""
+    def run(batches):
+        seen: set[tuple[int, int]] = set()
+        at = TaskContext.get().partitionId()
+        for b in batches:
+            ids, hashes, text = np.asarray(b.column(0)), np.asarray(b.column(1)), b.column(2)
+            size = np.asarray(pc.binary_length(text)).astype(np.int64)
+            long = size >= LENGTH
+            again = np.zeros(len(size), bool)
+            for i in np.flatnonzero(long).tolist():
+                key = (int(ids[i]), int(hashes[i]))
+                again[i] = key in seen
+                seen.add(key)
+            meet = long & ~again
+            part = _part(ids, hashes, n)
+            part[~meet] = (at + np.arange(int((~meet).sum()))) % n
+            at += int((~meet).sum())
+            cols = [pa.array(part.astype(np.int32)), *b.columns]
+            names = ["bucket", *b.schema.names]
+            if fetched:
+                yield pa.record_batch(cols, names=names).filter(pa.array(meet))
+            else:
+                cols[3] = pc.if_else(pa.array(again), pa.scalar(None, text.type), text)
+                yield pa.record_batch([*cols, pa.array(size, mask=~again)], names=[*names, "gone"])
+    return run
+
+
 def _put_ranges(rows, doc, text, begin, end, n: int) -> None:
     """Rows of removed ranges, by the part of their documents."""
-    for p, at in by_bucket(_part(doc, n), n):
+    for p, at in by_bucket(_part(doc, text, n), n):
         at = at[np.lexsort((begin[at], text[at], doc[at]))]
         rows.append((p, RANGES, pack(doc[at], text[at], begin[at].astype(np.int64), end[at].astype(np.int64))))
 
@@ -219,7 +255,7 @@ def _meet(n: int):
             on = kinds_of > 1
             wide = (kinds_of > WIDE)[on]
             doc, text, begin, strings, anchor = (x[on] for x in (doc, text, begin, strings, anchor))
-            for p, at in by_bucket(_part(doc, n), n):
+            for p, at in by_bucket(_part(doc, text, n), n):
                 rows.append((p, REQUESTS, pack(doc[at], text[at], begin[at], strings[at].astype(np.uint8), anchor[at], wide[at],
                                                np.full(len(at), bucket, np.int32))))
         return pa.Table.from_batches([_rows(rows)])
@@ -370,10 +406,15 @@ def _remove(columns: list[str], as_text: bool):
         ranges = {(int(doc[a]), int(text[a])): (begin[a:b], end[a:b]) for a, b in zip(heads[:-1], heads[1:], strict=True)}
         seen, spans, kept = set(), [], []
         none = np.zeros(0, np.int64)
+        gone = docs.column("gone").to_pylist()
         for i, key in enumerate(zip(ids.tolist(), hashes.tolist(), strict=True)):
             raw = data[off[i]: off[i + 1]]
+            if gone[i] is not None:  # the same row again: all of it stands in the one before
+                spans.append([[0, gone[i]]])
+                kept.append(b"")
+                continue
             b, e = ranges.get(key, (none, none))
-            if key in seen and len(raw) >= LENGTH:  # the same row again: all of it stands in the one before
+            if key in seen and len(raw) >= LENGTH:  # and in another task
                 b, e = np.array([0]), np.array([len(raw)])
             seen.add(key)
             spans.append(np.stack([b, e], 1).tolist())
@@ -408,12 +449,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     src = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("id"), F.xxhash64(text).alias("text_hash"),
                       text.alias("text"), *[F.col(c).alias(k) for c, k in names.items()])
     found = src.select("id", "text_hash", "text").mapInArrow(_map(n), _ROWS).groupBy("bucket").applyInArrow(_meet(n), _ROWS)
-    by_part = src.withColumn("bucket", F.pmod("id", F.lit(n)).cast("int")).groupBy("bucket")
-    fetched = by_part.cogroup(found.groupBy("bucket")).applyInArrow(_fetch(n), _ROWS)
+    dealt = "bucket int, id long, text_hash long, text string"
+    asked = src.select("id", "text_hash", "text").mapInArrow(_deal(n, True), dealt).groupBy("bucket")
+    fetched = asked.cogroup(found.groupBy("bucket")).applyInArrow(_fetch(n), _ROWS)
     marked = fetched.groupBy("bucket").applyInArrow(_expand(n), _ROWS)
     types = dict(src.dtypes)
     keep = list(names.values())
     schema = ", ".join(f"`{k}` {types[k]}" for k in keep) + ", __spans array<array<long>>, __kept " + ("string" if as_text else "binary")
+    dealt += "".join(f", `{k}` {types[k]}" for k in keep) + ", gone long"
+    by_part = src.mapInArrow(_deal(n, False), dealt).groupBy("bucket")
     out = by_part.cogroup(marked.groupBy("bucket")).applyInArrow(_remove(keep, as_text), schema)
     return out.select(*[F.col(k).alias(c) for c, k in names.items()], F.col("__spans").alias("spans"), F.col("__kept").alias("kept"))
 

@@ -5,6 +5,7 @@ import hashlib
 import itertools
 
 import numpy as np
+from pyspark.accumulators import AccumulatorParam
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -133,6 +134,31 @@ def test_repeats_equal_brute_force(spark):
     assert sizes[:2] == [0, 5] and sizes[2] > 0
 
 
+def test_repeats_of_one_id_go_to_many_parts(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    word = lambda n: " ".join("".join(rng.choice(list("abcdefgh"), 6)) for _ in range(n))
+    shared, same = word(30), word(40)
+    rows = [(None if i % 2 else 7, word(20) + shared, i) for i in range(300)] + [(7, same, i) for i in range(300)] + [(7, "short", 0)] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int").repartition(4)
+    remove, held = suffix_dedup._remove, spark.sparkContext.accumulator([], type("Sizes", (AccumulatorParam,), {
+        "zero": lambda self, x: [], "addInPlace": lambda self, a, b: a + b})())
+
+    def counted(columns, as_text):
+        run = remove(columns, as_text)
+        return lambda docs, found: (held.add([(docs.num_rows, docs.column("text").nbytes)]), run(docs, found))[1]
+
+    monkeypatch.setattr(suffix_dedup, "_remove", counted)
+    got = suffix_dedup.remove_repeats(docs).collect()
+    size = {n: len(t) for _, t, n in rows[:300]}
+    assert sorted(r.n for r in got) == sorted(n for _, _, n in rows)
+    whole = [r for r in got if not r.spans]
+    assert sum(bytes(r.kept) == b"short" for r in whole) == 3
+    assert sum(bytes(r.kept).decode() == same for r in got) == 1 and sum(r.spans == [[0, len(same)]] for r in got) == 299
+    cut = [r for r in got if r.spans and r.spans != [[0, len(same)]]]
+    assert len(cut) == 299 and all(bytes(r.kept).decode() in rows[r.n][1] and len(r.kept) < size[r.n] for r in cut)
+    assert max(k for k, _ in held.value) < 200 and sum(b for _, b in held.value) < 300 * 360 + 12 * 300
+
+
 def test_wide_anchors_and_long_texts_equal_brute_force(spark, monkeypatch):
     rng = np.random.default_rng(3)
     passage = "".join(rng.choice(list("abcdefgh "), 300))
