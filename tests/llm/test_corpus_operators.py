@@ -299,6 +299,16 @@ def test_pipeline_stages_take_odd_rows(spark):
         assert docs.count() == (4 if some else 0)
 
 
+def test_near_copies_are_rows_not_ids(spark):
+    word = lambda k: " ".join(f"{k}{i}" for i in range(60))
+    rows = [(1, word("a")), (5, word("a") + " x"), (5, word("b")), (5, word("c")), (5, word("c")), (6, word("c") + " y"), (7, " "), (7, " "), (7, None),
+            (7, word("d")), (7, word("e")), (None, word("a")), (None, word("a"))]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], DOCS).repartition(3)
+    got = corpus_pipeline.drop_near_copies(spark, docs, SF0001).collect()
+    want = [(1, word("a")), (5, word("b")), (5, word("c")), (7, " "), (7, None), (7, word("d")), (7, word("e")), (None, word("a")), (None, word("a"))]
+    assert sorted(map(str, ((r.doc_id, r.text) for r in got))) == sorted(map(str, want))
+
+
 def test_queries_return_the_contracts_columns(spark):
     got = QUERIES["op2_suffix_dedup"](spark, SF0001)
     want = {i: (n, r, hashlib.sha256(k).hexdigest()) for i, n, r, k in
