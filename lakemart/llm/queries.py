@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from lakemart.llm import bpe, chat, decontaminate, html_extract, jaccard_join, sharding, suffix_dedup, token_counts, topk, toxicity
+from lakemart.llm import (bpe, chat, decontaminate, html_extract, jaccard_join, merkle, phrases, sharding, sql, suffix_dedup, token_counts, topk,
+                          toxicity, url_filter)
 from lakemart.llm.packed import scratch_folder
 
 
@@ -83,8 +84,28 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_groups(table(spark, sf_dir, "documents"))
 
 
+#: Rules of the query on URLs.
+URL_RULES = (url_filter.Rule("allow", "com"), url_filter.Rule("block", "example.com", "/en/"), url_filter.Rule("allow", "www.example.com", "/en/"),
+             url_filter.Rule("block", "net", "/es/"), url_filter.Rule("block", "net", "/fr/"))
+
+
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES).drop("terms")
+
+
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    tampered = F.when(marked, F.replace(F.col("text"), F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return merkle.manifest(table(spark, sf_dir, "documents"), checked={"text": tampered})
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_chat_formatting, op2_suffix_dedup, op3_toxicity, op4_topk_search, op5_sharding, op6_token_counts, op7_html_extraction, op8_bpe, op9_decontamination, op10_jaccard_join)}
+    op1_chat_formatting, op2_suffix_dedup, op3_toxicity, op4_topk_search, op5_sharding, op6_token_counts, op7_html_extraction, op8_bpe, op9_decontamination, op10_jaccard_join,
+    op11_url_filter, op12_phrase_mining, op13_merkle_manifest)}
 
 #: Upper case A-Z, lower case a-z.
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -130,4 +151,7 @@ r AS (SELECT a AS doc_id, a AS reach FROM l UNION SELECT r.doc_id, l.b FROM r JO
 k AS (SELECT doc_id, min(reach) AS component_id FROM r GROUP BY doc_id)
 SELECT documents.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(k.component_id, documents.doc_id) AS component_id
 FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN k USING (doc_id)""",
+    "op11_url_filter": sql.url_filter(URL_RULES, url_filter.STRICT, url_filter.SOFT, url_filter.SOFT_HITS),
+    "op12_phrase_mining": sql.phrases(30, 2000, 80, 2_000_000),
+    "op13_merkle_manifest": sql.merkle(),
 }
