@@ -8,7 +8,7 @@ Trees grow by incremental witnesses: nodes are appended in order to a stack of
 open subtrees; a subtree carries the partial witnesses of the leaves below it,
 and whenever its later siblings complete a run of three, each of these
 witnesses is extended by the siblings.  One task appends one aligned block of
-3**6 nodes at most; the roots of the blocks are then appended in the same way,
+3**levels nodes at most; the roots of the blocks are then appended in the same way,
 in blocks of blocks, until each group has one node.  A block's witness, made at
 the end, comes back to its leaves as the last extension of theirs.  So a group
 of any size is spread over many tasks, none of which holds more than a block.
@@ -29,9 +29,8 @@ from pyspark.sql.types import StructType
 
 from lakemart.llm.packed import saved
 
-#: Children of a node, and levels of a block.
+#: Children of a node, and levels of a block unless given.
 ARITY, LEVELS = 3, 6
-BLOCK = ARITY**LEVELS
 
 #: Columns of node tables: group, place in it, hash (32 bytes), nodes of the group.
 _NODE = "g string, pos long, h binary, n long"
@@ -42,11 +41,11 @@ def combine(hashes: Sequence[bytes]) -> bytes:
     return sha256("".join([h.hex() for h in hashes]).encode()).digest()
 
 
-def levels_of(n: int) -> int:
+def levels_of(n: int, levels: int = LEVELS) -> int:
     """Levels that a block of a group of n nodes is folded by: up to one node, or
-    LEVELS when the group has further blocks."""
+    ``levels`` when the group has further blocks."""
     k, top = 0, 1
-    while top < n and k < LEVELS:
+    while top < n and k < levels:
         k, top = k + 1, top * ARITY
     return k
 
@@ -131,7 +130,7 @@ def _blocks(batches, columns: tuple[str, ...]):
 
 
 def _by_block(nodes: DataFrame) -> DataFrame:
-    """Whole blocks side by side in a partition, in order; a block is at most BLOCK rows and one head."""
+    """Whole blocks side by side in a partition, in order; a block is at most ARITY**levels rows and one head."""
     return nodes.repartition("g", "block").sortWithinPartitions("g", "block", "pos")
 
 
@@ -146,9 +145,9 @@ def _batched(rows: Iterator[tuple], schema: pa.Schema, size: int = 4096):
         yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), schema, strict=True)], schema=schema)
 
 
-def _grown(rows: list[tuple], witnesses: bool = True) -> Tree:
+def _grown(rows: list[tuple], levels: int, witnesses: bool = True) -> Tree:
     """The closed tree of one block's rows (hash, n, ...)."""
-    tree = Tree(levels_of(rows[0][1]), witnesses)
+    tree = Tree(levels_of(rows[0][1], levels), witnesses)
     for r in rows:
         tree.append(r[0])
     tree.close()
@@ -158,24 +157,26 @@ def _grown(rows: list[tuple], witnesses: bool = True) -> Tree:
 _ROOTS = pa.schema([("g", pa.string()), ("pos", pa.int64()), ("h", pa.binary()), ("n", pa.int64())])
 
 
-def block_roots(nodes: DataFrame) -> DataFrame:
+def block_roots(nodes: DataFrame, levels: int) -> DataFrame:
     """The nodes (g, pos, h, n) that the blocks of ``nodes`` become."""
+    size = ARITY**levels
+
     def run(batches):
         def rows():
             for (g, block), held in _blocks(batches, ("g", "block", "h", "n")):
-                yield g, block, _grown(held, witnesses=False).root, -(-held[0][1] // BLOCK)
+                yield g, block, _grown(held, levels, witnesses=False).root, -(-held[0][1] // size)
         yield from _batched(rows(), _ROOTS)
 
-    cut = nodes.select("g", (F.col("pos") / BLOCK).cast("long").alias("block"), "pos", "h", "n")
+    cut = nodes.select("g", F.expr(f"pos div {size}").alias("block"), "pos", "h", "n")
     return _by_block(cut).mapInArrow(run, _NODE)
 
 
-def extended(nodes: DataFrame, heads: DataFrame, spec: str, finish) -> DataFrame:
+def extended(nodes: DataFrame, heads: DataFrame, levels: int, spec: str, finish) -> DataFrame:
     """Witnesses of ``nodes`` (g, pos, h, n and more columns): within their blocks,
     then extended by those of the blocks in ``heads`` (g, block, up, root).
     ``finish(g, row, witness, root)`` makes one row of the DDL schema ``spec``."""
     more = [c for c in nodes.columns if c not in ("g", "pos", "h", "n")]
-    body = nodes.select("g", (F.col("pos") / BLOCK).cast("long").alias("block"), "pos", "h", "n", *more)
+    body = nodes.select("g", F.expr(f"pos div {ARITY**levels}").alias("block"), "pos", "h", "n", *more)
     types = dict(nodes.dtypes)
     # a block's head row stands before its nodes: its witness as h, the root in "root"
     top = heads.select("g", "block", F.lit(-1).cast("long").alias("pos"), F.col("up").alias("h"), F.lit(0).cast("long").alias("n"),
@@ -188,7 +189,7 @@ def extended(nodes: DataFrame, heads: DataFrame, spec: str, finish) -> DataFrame
         def rows():
             for (g, _), held in _blocks(batches, names):
                 up, root, held = held[0][0], held[0][2], held[1:]
-                tree = _grown(held)
+                tree = _grown(held, levels)
                 for r, w in zip(held, tree.witness, strict=True):
                     yield finish(g, r, bytes(w) + up, root)
         yield from _batched(rows(), arrow)
@@ -196,15 +197,15 @@ def extended(nodes: DataFrame, heads: DataFrame, spec: str, finish) -> DataFrame
     return _by_block(both).mapInArrow(run, spec)
 
 
-def _heads(nodes: DataFrame, spark: SparkSession) -> DataFrame:
+def _heads(nodes: DataFrame, levels: int, spark: SparkSession) -> DataFrame:
     """(g, block, up, root): each block's root, its witness up to the group's one
     node, and that node.  Further levels are appended as long as a group has more
     than one block."""
-    roots = saved(block_roots(nodes), spark)
+    roots = saved(block_roots(nodes, levels), spark)
     if (roots.agg(F.max("n")).first()[0] or 1) <= 1:
         return roots.select("g", F.col("pos").alias("block"), F.lit(b"").alias("up"), F.col("h").alias("root"))
     spec = "g string, block long, up binary, root binary"
-    return saved(extended(roots, _heads(roots, spark), spec, lambda g, r, w, root: (g, r[3], w, root)), spark)
+    return saved(extended(roots, _heads(roots, levels, spark), levels, spec, lambda g, r, w, root: (g, r[3], w, root)), spark)
 
 
 def placed(rows: DataFrame, order: Sequence[str], spark: SparkSession) -> DataFrame:
@@ -241,7 +242,7 @@ FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 
 def manifest(docs: DataFrame, fields: Sequence[str] = FIELDS, group_col: str = "source", id_col: str = "doc_id",
-             checked: dict[str, Column] | None = None) -> DataFrame:
+             checked: dict[str, Column] | None = None, levels: int = LEVELS) -> DataFrame:
     """One row per document: id_col, leaf, subroot, root, proof_sha256 (lowercase
     hex), folded_root and verified.
 
@@ -267,11 +268,11 @@ def manifest(docs: DataFrame, fields: Sequence[str] = FIELDS, group_col: str = "
     leaves = saved(leaves.withColumn("__row", F.monotonically_increasing_id()), spark)
     leaves = saved(placed(leaves, ("__id", "h", "__row"), spark).drop("__row"), spark)
     nodes = leaves.select("g", "pos", "h", "n")
-    heads = _heads(nodes, spark)
+    heads = _heads(nodes, levels, spark)
     tops = saved(heads.where("block = 0").select(F.col("g").alias("__name"), F.lit("").alias("g"), F.col("root").alias("h")), spark)
     tops = saved(placed(tops, ("__name",), spark), spark)
     spec = "g string, above binary, manifest_root binary"
-    above = extended(tops, _heads(tops.select("g", "pos", "h", "n"), spark), spec, lambda g, r, w, root: (r[4], w, root))
+    above = extended(tops, _heads(tops.select("g", "pos", "h", "n"), levels, spark), levels, spec, lambda g, r, w, root: (r[4], w, root))
     # the witness goes on above the group's root; both roots go along in one value
     heads = heads.join(above, "g").select("g", "block", F.concat("up", "above").alias("up"), F.concat("root", "manifest_root").alias("root"))
     id_type = dict(docs.dtypes)[id_col]
@@ -283,4 +284,4 @@ def manifest(docs: DataFrame, fields: Sequence[str] = FIELDS, group_col: str = "
         folded = fold(seen, witness)
         return doc, leaf.hex(), subroot.hex(), root.hex(), proof_digest(witness).hex(), folded.hex(), folded == root
 
-    return extended(leaves.select("g", "pos", "h", "n", "__id", "__seen"), heads, out, finish)
+    return extended(leaves.select("g", "pos", "h", "n", "__id", "__seen"), heads, levels, out, finish)
