@@ -50,6 +50,12 @@ def powers(n: int) -> np.ndarray:
     return _powers[:n]
 
 
+def forget() -> None:
+    """Drop the table of powers, which is as long as the longest text so far."""
+    global _powers
+    _powers = np.ones(1, dtype=np.uint64)
+
+
 def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, past row, bytes, offsets) of runs of whole texts of about
     ``limit`` bytes.  A null text counts as empty."""

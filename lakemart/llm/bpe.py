@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.memory import Memory
+from lakemart.llm.memory import Memory, light
 
 #: Distinct white-space-free pieces whose encoding a worker keeps in each of two generations.
 MEMORY = 250_000
@@ -284,5 +284,5 @@ def encode_decode(docs: DataFrame, path: str, text_col: str = "text", keep: tupl
                     start, size = i + 1, 0
 
     src = docs.select(*keep, F.col(text_col).alias("__text"))
-    out = src.mapInArrow(run, ", ".join(f"`{c}` {t}" for c, t in src.dtypes[:-1]) + ", ids binary, decoded string")
+    out = src.mapInArrow(light(run), ", ".join(f"`{c}` {t}" for c, t in src.dtypes[:-1]) + ", ids binary, decoded string")
     return out.select(*keep, "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "decoded")

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.llm.arrays import mix, shingles, text_slices
+from lakemart.llm.memory import light
 
 _U = np.uint64
 #: MinHash functions.
@@ -136,7 +137,7 @@ def marked(docs: DataFrame, items: DataFrame, text_col: str = "text", keep: tupl
                     hits = pa.array([(old or []) + new.get(i, []) for i, old in enumerate(hits.to_pylist())], hits.type)
                 yield pa.record_batch([*b.columns[:-2], hits, text], names=b.schema.names)
 
-        now = now.mapInArrow(run, schema)
+        now = now.mapInArrow(light(run), schema)
     return now.select(*keep, F.coalesce("hits", F.array().cast(hit)).alias("hits"))
 
 

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from lakemart.llm.arrays import mix, shingles, text_slices
 from lakemart.llm.components import components
+from lakemart.llm.memory import light
 from lakemart.llm.packed import by_bucket, five_bytes, from_five_bytes, pack, saved, text_buckets, unpack
 
 _U = np.uint64
@@ -348,8 +349,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     buckets = text_buckets(docs, "text")
-    stage = (docs.mapInArrow(_map(words, percent, buckets), "bucket int, kind int, payload binary")
-             .groupBy("bucket").applyInArrow(_reduce, _STAGE))
+    stage = (docs.mapInArrow(light(_map(words, percent, buckets)), "bucket int, kind int, payload binary")
+             .groupBy("bucket").applyInArrow(light(_reduce), _STAGE))
     stage = saved(stage, spark)
     facts = stage.where("kind = 1").select("doc_id", "known", "n", "h1", "h2")
     classes = saved(stage.where("kind = 1 and known and n > 0").groupBy("h1", "h2")
@@ -361,14 +362,14 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              .select("block", F.col("rep").alias("member")))
     members = saved(pairs.union(pairs.select("block", F.col("block").alias("member"))).distinct(), spark)
     sketched = _dealt(members).join(classes.select(F.col("rep").alias("member"), "n", "sketch"), "member")
-    members = saved(_met(sketched, buckets).applyInArrow(_sieve(percent), "block long, member long").distinct(), spark)
+    members = saved(_met(sketched, buckets).applyInArrow(light(_sieve(percent)), "block long, member long").distinct(), spark)
     targets = _dealt(members).groupBy("member").agg(F.collect_list(F.struct("block", "g", "chunk")).alias("targets"))
     kind = dict(targets.dtypes)["targets"]
     # the same join at every size: the targets grow with the documents
     wanted = docs.join(targets.withColumnRenamed("member", "doc_id").hint("merge"), "doc_id").select("doc_id", "text", "targets")
-    sets = (wanted.mapInArrow(_sets_of(words), f"member long, targets {kind}, features binary")
+    sets = (wanted.mapInArrow(light(_sets_of(words)), f"member long, targets {kind}, features binary")
             .select("member", F.explode("targets").alias("t"), "features").select("member", "t.*", "features"))
-    links = _met(sets, buckets).applyInArrow(_compare(percent), "a long, b long")
+    links = _met(sets, buckets).applyInArrow(light(_compare(percent)), "a long, b long")
     roots = components(links, spark)
     named = reps.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
         "h1", "h2", F.coalesce("root", "rep").alias("root"))

@@ -1,8 +1,15 @@
-"""A bounded memory of results by key, for work that repeats inside a worker."""
+"""What a Python worker keeps: a bounded memory of results by key, and nothing past a task's end."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import ctypes
+import functools
+import inspect
+from collections.abc import Callable, Iterable
+
+import pyarrow as pa
+
+from lakemart.llm import arrays
 
 
 class Memory:
@@ -29,3 +36,43 @@ class Memory:
                 else:
                     out.append(k)
         return out
+
+
+def give_back() -> None:
+    """Hand freed memory back to the system.  Spark keeps a worker for later tasks
+    and stages; what its allocators keep would add up beside the JVM's memory."""
+    arrays.forget()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def light(run: Callable) -> Callable:
+    """``run``, a function for mapInArrow (a generator) or applyInArrow, that gives
+    memory back at its end."""
+    if inspect.isgeneratorfunction(run):
+        @functools.wraps(run)
+        def mapped(batches):
+            try:
+                yield from run(batches)
+            finally:
+                give_back()
+        return mapped
+
+    if len(inspect.signature(run).parameters) == 2:
+        @functools.wraps(run)
+        def joined(left: pa.Table, right: pa.Table) -> pa.Table:
+            try:
+                return run(left, right)
+            finally:
+                give_back()
+        return joined
+
+    @functools.wraps(run)
+    def grouped(table: pa.Table) -> pa.Table:
+        try:
+            return run(table)
+        finally:
+            give_back()
+    return grouped

@@ -46,7 +46,7 @@ def by_bucket(bucket: np.ndarray, n_buckets: int):
         yield int(b), order[ends[b]: ends[b + 1]]
 
 
-def text_buckets(docs: DataFrame, text_col: str, bytes_each: int = 1 << 24) -> int:
+def text_buckets(docs: DataFrame, text_col: str, bytes_each: int = 1 << 23) -> int:
     """Number of buckets so that each has about ``bytes_each`` bytes of text,
     and at least as many as the session shuffles into."""
     total = docs.agg(F.sum(F.octet_length(F.col(text_col)).cast("long"))).first()[0] or 0

@@ -51,7 +51,7 @@ def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = sharding.renamed(table(spark, sf_dir, "documents"))
     path = scratch_folder(spark)
     sharding.write_shards(docs, path, "doc_id", 16)
     out = spark.read.schema(StructType([*docs.schema, StructField("slot", LongType()), StructField("shard", IntegerType())])).parquet(path)

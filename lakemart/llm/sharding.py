@@ -19,6 +19,24 @@ BUCKET_BYTES = 16 << 20
 GROUP = 1024
 
 
+#: Names of the results and of columns used on the way.
+NAMES = frozenset(("shard", "slot", "__bucket", "__record", "__records", "__first", "__pos", "__at"))
+
+
+def renamed(records: DataFrame) -> DataFrame:
+    """``records`` with an underscore after each column name that is one of NAMES
+    (in any case), or several where that name is taken too."""
+    taken = {c.lower() for c in records.columns}
+    out = []
+    for c in records.columns:
+        new = c
+        while new.lower() in NAMES or (new != c and new.lower() in taken):
+            new += "_"
+        taken.add(new.lower())
+        out.append(new)
+    return records.toDF(*out)
+
+
 def _sizes(records: DataFrame) -> tuple[int, int]:
     """Rows, and their bytes in memory: strings and binaries as they are, other columns as eight."""
     own = [F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) if t in ("string", "binary") else F.lit(0) for c, t in records.dtypes]
@@ -37,8 +55,9 @@ def shuffled_shards(records: DataFrame, id_col: str, n_shards: int, seed: int =
     a record of its own, whatever its id: null and repeated ids and equal rows
     are scattered like others.  The order follows from the seed, the rows and
     the layout of the input.  Empty tables give no rows.  Columns named like
-    the results must be renamed before.
+    the results come back as ``renamed`` names them.
     """
+    records = renamed(records)
     columns = records.columns
     n, size = _sizes(records) if record_bytes is None else (k := records.count(), k * record_bytes)
     buckets = max(1, -(-n // BUCKET_ROWS), -(-size // BUCKET_BYTES))

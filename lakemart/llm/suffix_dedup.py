@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from lakemart.llm.arrays import _BASE, _BYTE, mix, powers, text_slices
 from lakemart.llm.bwt import repeat_classes
+from lakemart.llm.memory import light
 from lakemart.llm.packed import by_bucket, five_bytes, from_five_bytes, pack, text_buckets, unpack
 
 _U = np.uint64
@@ -45,16 +46,12 @@ WIDE = 1 << 15
 BLOCK_BYTES = 1 << 20
 
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_inverses = np.ones(1, dtype=np.uint64)
 
 
 def _inverse_powers(n: int) -> np.ndarray:
-    global _inverses
-    if len(_inverses) < n:
-        p = np.full(1 << max(10, (n - 1).bit_length()), _INVERSE, dtype=np.uint64)
-        p[0] = 1
-        _inverses = np.cumprod(p, dtype=np.uint64)
-    return _inverses[:n]
+    p = np.full(n, _INVERSE, dtype=np.uint64)
+    p[:1] = 1
+    return np.cumprod(p, dtype=np.uint64)
 
 
 def string_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -448,16 +445,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text = F.coalesce(F.col(text_col), F.lit(""))
     src = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("id"), F.xxhash64(text).alias("text_hash"),
                       text.alias("text"), *[F.col(c).alias(k) for c, k in names.items()])
-    found = src.select("id", "text_hash", "text").mapInArrow(_map(n), _ROWS).groupBy("bucket").applyInArrow(_meet(n), _ROWS)
+    found = src.select("id", "text_hash", "text").mapInArrow(light(_map(n)), _ROWS).groupBy("bucket").applyInArrow(light(_meet(n)), _ROWS)
     dealt = "bucket int, id long, text_hash long, text string"
-    asked = src.select("id", "text_hash", "text").mapInArrow(_deal(n, True), dealt).groupBy("bucket")
-    fetched = asked.cogroup(found.groupBy("bucket")).applyInArrow(_fetch(n), _ROWS)
-    marked = fetched.groupBy("bucket").applyInArrow(_expand(n), _ROWS)
+    asked = src.select("id", "text_hash", "text").mapInArrow(light(_deal(n, True)), dealt).groupBy("bucket")
+    fetched = asked.cogroup(found.groupBy("bucket")).applyInArrow(light(_fetch(n)), _ROWS)
+    marked = fetched.groupBy("bucket").applyInArrow(light(_expand(n)), _ROWS)
     types = dict(src.dtypes)
     keep = list(names.values())
     schema = ", ".join(f"`{k}` {types[k]}" for k in keep) + ", __spans array<array<long>>, __kept " + ("string" if as_text else "binary")
     dealt += "".join(f", `{k}` {types[k]}" for k in keep) + ", gone long"
-    by_part = src.mapInArrow(_deal(n, False), dealt).groupBy("bucket")
-    out = by_part.cogroup(marked.groupBy("bucket")).applyInArrow(_remove(keep, as_text), schema)
+    by_part = src.mapInArrow(light(_deal(n, False)), dealt).groupBy("bucket")
+    out = by_part.cogroup(marked.groupBy("bucket")).applyInArrow(light(_remove(keep, as_text)), schema)
     return out.select(*[F.col(k).alias(c) for c, k in names.items()], F.col("__spans").alias("spans"), F.col("__kept").alias("kept"))
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.memory import Memory
+from lakemart.llm.memory import Memory, light
 
 #: Bytes of pieces given to the tokenizer at once, and of texts cut at once.
 BATCH_BYTES = 1 << 18
@@ -171,6 +171,6 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
                       F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)).cast("long").alias("n_bytes"),
                       F.col(text_col).alias("text"))
     kind = dict(src.dtypes)["id"]
-    counted = src.mapInArrow(run, f"id {kind}, n_bytes long, n_tokens long")
+    counted = src.mapInArrow(light(run), f"id {kind}, n_bytes long, n_tokens long")
     return counted.select(F.col("id").alias(id_col), "n_bytes", "n_tokens",
                           (F.col("n_tokens") > limit).alias("over_limit"))

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from lakemart.llm.arrays import IS_SPACE, distinct_pairs, text_slices, word_beginnings
 from lakemart.llm.jaccard_join import near_groups
+from lakemart.llm.memory import light
 from lakemart.llm.packed import saved
 
 #: Bounds of the two training samples, in documents.
@@ -140,7 +141,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: int = 1, prior: float | No
                 doc, f = doc + row, pa.array(h.view(np.int64))
                 yield pa.record_batch([f, example.take(pa.array(doc)), pa.array(u[doc].astype(np.int64))], names=["f", "example", "u"])
 
-    counts = (sample.mapInArrow(frequencies, "f long, example long, u long").groupBy("f", "example").agg(F.sum("u").alias("u"))
+    counts = (sample.mapInArrow(light(frequencies), "f long, example long, u long").groupBy("f", "example").agg(F.sum("u").alias("u"))
               .groupBy("f").agg(F.count("example").alias("p"), F.sum("u").alias("u")))
     rate_p, rate_u = F.col("p") / F.lit(max(n_p, 1)), (F.col("u") + 1) / F.lit(n_u + 1)
     error = F.sqrt(rate_u * (1 - rate_u) / F.lit(max(n_p, 1)))
@@ -159,7 +160,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: int = 1, prior: float | No
                 yield pa.record_batch([pa.array(got, pa.list_(pa.int64())), b.column(1).slice(row, past - row),
                                        b.column(2).slice(row, past - row)], names=["at", "example", "u"])
 
-    rows = sample.mapInArrow(presence, "at array<long>, example long, u int").collect()
+    rows = sample.mapInArrow(light(presence), "at array<long>, example long, u int").collect()
     rows.sort(key=lambda r: (r["at"], r["u"] or 0))  # the same sums in any order of arrival
     examples: dict[int, list[int]] = {}
     for r in rows:
@@ -183,4 +184,4 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[str
             yield pa.record_batch([*b.columns[:-1], pa.array(np.concatenate([*got, np.zeros(0)]))], names=[*keep, out])
 
     src = docs.select(*keep, F.col(text_col).alias("__text"))
-    return src.mapInArrow(run, ", ".join(f"`{c}` {t}" for c, t in src.dtypes[:-1]) + f", `{out}` double")
+    return src.mapInArrow(light(run), ", ".join(f"`{c}` {t}" for c, t in src.dtypes[:-1]) + f", `{out}` double")
