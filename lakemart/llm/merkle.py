@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from lakemart.llm.memory import light
 from lakemart.llm.packed import saved
 
 #: Children of a node, and levels of a block unless given.
@@ -168,7 +169,7 @@ def block_roots(nodes: DataFrame, levels: int) -> DataFrame:
         yield from _batched(rows(), _ROOTS)
 
     cut = nodes.select("g", F.expr(f"pos div {size}").alias("block"), "pos", "h", "n")
-    return _by_block(cut).mapInArrow(run, _NODE)
+    return _by_block(cut).mapInArrow(light(run), _NODE)
 
 
 def extended(nodes: DataFrame, heads: DataFrame, levels: int, spec: str, finish) -> DataFrame:
@@ -194,7 +195,7 @@ def extended(nodes: DataFrame, heads: DataFrame, levels: int, spec: str, finish)
                     yield finish(g, r, bytes(w) + up, root)
         yield from _batched(rows(), arrow)
 
-    return _by_block(both).mapInArrow(run, spec)
+    return _by_block(both).mapInArrow(light(run), spec)
 
 
 def _heads(nodes: DataFrame, levels: int, spark: SparkSession) -> DataFrame:
