@@ -7,10 +7,11 @@ similarity of an item and its window is bounded from below by the containment.
 Item and window are a candidate pair when one of their MinHash values is equal;
 candidates are then verified by exact containment in the whole document.
 
-An item of s > S / 2 shingles that a window holds to the threshold t has a
-Jaccard similarity of at least t*s / (2S + (1-t)*s), 0.19 for t = 0.8; all 64
-values differ with a probability under 2e-6 there, and under 1e-10 for items
-that fill their class.
+Classes begin at one shingle and double.  An item of one shingle is looked up as
+it is, exactly.  An item of s > S / 2 shingles that a window holds to the
+threshold t has a Jaccard similarity of at least t*s / (2S + (1-t)*s), 0.19 for
+t = 0.8; all 64 values differ with a probability under 2e-6 there, and under
+1e-10 for items that fill their class.
 """
 
 from __future__ import annotations
@@ -20,14 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.arrays import mix, shingles, text_slices
+from lakemart.llm.arrays import distinct_pairs, mix, shingles, text_slices
 from lakemart.llm.memory import light
+from lakemart.llm.packed import saved
 
 _U = np.uint64
 #: MinHash functions.
 HASHES = 64
-#: The smallest size class.
-LEAST = 8
 #: Bytes of item texts searched in one pass over the documents, and broadcast in it.
 ITEM_BYTES = 8 << 20
 
@@ -35,7 +35,9 @@ ITEM_BYTES = 8 << 20
 class Items:
     """MinHash tables of one block of items."""
 
-    def __init__(self, ids: list[int], texts: list[str], words: int):
+    def __init__(self, ids: list, texts: list[str], words: int, rows: list[int]):
+        """``rows``: how often each item stands in its table."""
+        self.rows = rows
         doc, h = [], []
         for row, _, data, off in text_slices(pa.array(texts, pa.string())):
             d, x = shingles(data, off, words)
@@ -43,19 +45,22 @@ class Items:
             h.append(x)
         doc = np.concatenate(doc) if doc else np.zeros(0, np.int64)
         h = np.concatenate(h) if h else np.zeros(0, _U)
+        doc, h = distinct_pairs(doc, h)
+        ends = np.searchsorted(doc, np.arange(len(ids) + 1))
         self.ids = ids
-        self.sets = [np.unique(h[doc == i]) for i in range(len(ids))]
-        size = np.array([len(s) for s in self.sets])
+        self.sets = [h[i:j] for i, j in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+        size = np.diff(ends)
         self.classes = {}
         self.factor = mix(np.arange(1, HASHES + 1, dtype=_U)) | _U(1)
-        top = LEAST
-        low = 0
+        low, top = 0, 1
         while size.size and low < size.max():
             mine = np.flatnonzero((size > low) & (size <= top))
             if len(mine):
+                own = np.concatenate([self.sets[i] for i in mine])
+                heads = np.cumsum(size[mine]) - size[mine]
                 tables = []
-                for a in self.factor:
-                    least = np.array([(self.sets[i] * a).min() for i in mine], dtype=_U)
+                for a in self.factor[: 1 if top == 1 else HASHES]:
+                    least = np.minimum.reduceat(own * a, heads)
                     order = np.argsort(least, kind="stable")
                     tables.append((least[order], mine[order]))
                 self.classes[top] = tables
@@ -69,28 +74,30 @@ class Items:
         first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
         place = np.arange(len(doc)) - np.repeat(first, np.diff(np.append(first, len(doc))))
         top = max(self.classes)
+
+        def search(values, items, window, owner):
+            lo = np.searchsorted(values, window)
+            hit = np.flatnonzero(values[np.minimum(lo, len(values) - 1)] == window)
+            count = np.searchsorted(values, window[hit], side="right") - lo[hit]
+            at = np.repeat(lo[hit], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            found.update(zip(np.repeat(owner[hit], count).tolist(), items[at].tolist(), strict=True))
+
+        if 1 in self.classes:  # a set of one: equal in one MinHash value is equal
+            search(*self.classes[1][0], h * self.factor[0], doc)
         for k, a in enumerate(self.factor):
             least, owner, step, at = h * a, doc, 1, place
             while step < top:
                 # blocks of the next size class: minima of pairs of smaller blocks
-                wide = LEAST if step == 1 else 2
-                heads = np.flatnonzero(at % wide == 0)
+                heads = np.flatnonzero(at % 2 == 0)
                 least, owner = np.minimum.reduceat(least, heads), owner[heads]
-                at = at[heads] // wide
-                step *= wide
+                at = at[heads] // 2
+                step *= 2
                 if step not in self.classes:
                     continue
                 window = least.copy()
                 same = owner[1:] == owner[:-1]
                 window[:-1][same] = np.minimum(window[:-1][same], least[1:][same])
-                values, items = self.classes[step][k]
-                lo = np.searchsorted(values, window)
-                hit = np.flatnonzero(values[np.minimum(lo, len(values) - 1)] == window)
-                for i in hit:
-                    j = lo[i]
-                    while j < len(values) and values[j] == window[i]:
-                        found.add((int(owner[i]), int(items[j])))
-                        j += 1
+                search(*self.classes[step][k], window, owner)
         return found
 
 
@@ -103,12 +110,12 @@ def marked(docs: DataFrame, items: DataFrame, text_col: str = "text", keep: tupl
     Words are runs without white space, A-Z lower-cased; a text of fewer words
     is one shingle, its whole sequence.  Null, empty and blank texts have no
     shingles and match nothing.  Null ids and repeated rows, of documents and
-    items, stay as they are.  Items are read in blocks of bounded size, one pass over the
-    documents each; a block is what is broadcast.  Other columns are not read;
+    items, stay as they are (a repeated item hits as often).  Items are read in blocks of bounded size, one pass over the
+    documents each, written between passes; a block is what is broadcast.  Other columns are not read;
     ``keep`` must not hold hits.
     """
     spark = docs.sparkSession
-    items = items.select(F.col(item_id).alias("item_id"), F.coalesce(F.col(item_text), F.lit("")).alias("text"))
+    items = items.groupBy(F.col(item_id).alias("item_id"), F.coalesce(F.col(item_text), F.lit("")).alias("text")).agg(F.count("*").alias("rows"))
     hit = f"array<struct<item_id:{dict(items.dtypes)['item_id']},n_shared:bigint,n_item:bigint>>"
     size = items.agg(F.sum(F.octet_length("text") + 16).alias("b")).first()["b"] or 0
     passes = max(1, -(-int(size) // ITEM_BYTES))
@@ -118,7 +125,7 @@ def marked(docs: DataFrame, items: DataFrame, text_col: str = "text", keep: tupl
         block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == p) if passes > 1 else items
         rows = block.collect()
         # at most about ITEM_BYTES of text
-        shared = spark.sparkContext.broadcast(Items([r["item_id"] for r in rows], [r["text"] for r in rows], words))
+        shared = spark.sparkContext.broadcast(Items([r["item_id"] for r in rows], [r["text"] for r in rows], words, [r["rows"] for r in rows]))
 
         def run(batches, shared=shared):
             found = shared.value
@@ -132,12 +139,15 @@ def marked(docs: DataFrame, items: DataFrame, text_col: str = "text", keep: tupl
                     for d, i in pairs:
                         n = int(np.isin(found.sets[i], h[ends[d]: ends[d + 1]]).sum())
                         if 100 * n >= percent * len(found.sets[i]):
-                            new.setdefault(row + d, []).append({"item_id": found.ids[i], "n_shared": n, "n_item": len(found.sets[i])})
+                            hit = {"item_id": found.ids[i], "n_shared": n, "n_item": len(found.sets[i])}
+                            new.setdefault(row + d, []).extend([hit] * found.rows[i])
                 if new:
                     hits = pa.array([(old or []) + new.get(i, []) for i, old in enumerate(hits.to_pylist())], hits.type)
                 yield pa.record_batch([*b.columns[:-2], hits, text], names=b.schema.names)
 
         now = now.mapInArrow(light(run), schema)
+        if p < passes - 1:
+            now = saved(now, spark)  # one block's table in a worker at a time
     return now.select(*keep, F.coalesce("hits", F.array().cast(hit)).alias("hits"))
 
 
