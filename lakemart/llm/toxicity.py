@@ -11,8 +11,9 @@ so the model cannot fit the unlabelled sample by calling all of it clean.
 
 Features are the presence of words and of word beginnings (hashed), chosen
 where they are over-represented among the examples; a group of near copies
-counts as one example.  Training reads samples of bounded size; every whole
-text is scored.
+counts as one example.  Their unlabelled frequencies are counted over all
+documents of the training folds; the risk is minimised on samples of bounded
+size; every whole text is scored.
 """
 
 from __future__ import annotations
@@ -27,7 +28,8 @@ from lakemart.llm.jaccard_join import near_groups
 from lakemart.llm.memory import light
 from lakemart.llm.packed import saved
 
-#: Bounds of the two training samples, in documents.
+#: Bounds of the training samples, in documents: labelled examples, and unlabelled
+#: texts for the risk's gradient.  Features are chosen by counts over all documents.
 EXAMPLES, UNLABELLED = 4096, 8192
 #: Lengths in bytes of the word beginnings used beside whole words.
 BEGINNINGS = (4, 5, 6)
@@ -111,38 +113,68 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: int = 1, prior: float | No
     held-out fold.
 
     The prior, unless given, is the share of toxic rows among the labels used.
-    Rows with null ids or labels are not used.  Without toxic examples the
+    Rows with null ids or labels are not used; of rows equal in id and text one
+    enters the samples, and rows of one id and different texts are different
+    documents.  Without toxic examples the
     model has no features and scores all texts alike, near 0.
     """
     spark = docs.sparkSession
     used = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (fold_of(F.col("doc_id")) != held_out))
-    by_hash = F.xxhash64("doc_id")
     marks = used.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     share = marks.agg(F.avg((F.col("toxic") == 1).cast("double"))).first()[0] or 0.0
     if not share:
         return Model(np.zeros(0, np.uint64))
     prior = share if prior is None else prior
-    examples = marks.where("toxic = 1").select("doc_id").orderBy(by_hash).limit(EXAMPLES)
-    others = (docs.select("doc_id").where(F.col("doc_id").isNotNull() & (fold_of(F.col("doc_id")) != held_out))
-              .distinct().orderBy(by_hash).limit(UNLABELLED))
-    chosen = examples.withColumn("p", F.lit(1)).join(others.withColumn("u", F.lit(1)), "doc_id", "full")
-    # at most EXAMPLES + UNLABELLED ids
-    sample = saved(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), spark)
+    fold = docs.where(F.col("doc_id").isNotNull() & (fold_of(F.col("doc_id")) != held_out)).select("doc_id", F.xxhash64("text").alias("h"), "text")
+
+    def first(rows: DataFrame, n: int, name: str) -> DataFrame:
+        """``n`` different (doc_id, text) of the rows, chosen by a hash."""
+        return rows.select("doc_id", "h").distinct().orderBy(F.xxhash64("doc_id", "h"), "doc_id", "h").limit(n).withColumn(name, F.lit(1))
+
+    examples = first(fold.join(marks.where("toxic = 1").select("doc_id"), "doc_id", "left_semi"), EXAMPLES, "p")
+    chosen = examples.join(first(fold, UNLABELLED, "u"), ["doc_id", "h"], "full")
+    # at most EXAMPLES + UNLABELLED keys; equal rows of the table count as one
+    sample = saved(fold.join(F.broadcast(chosen), ["doc_id", "h"]).dropDuplicates(["doc_id", "h"]), spark)
     # copies of an example bring words that only they have: a group of copies is one example
-    copies = near_groups(sample.where("p = 1"), words=5, percent=80).select("doc_id", F.col("component_id").alias("example")).distinct()
-    sample = saved(sample.join(F.broadcast(copies), "doc_id", "left").select("text", "example", "u"), spark)
-    n_p, n_u = sample.agg(F.count_distinct("example"), F.count("u")).first()
+    numbered = saved(sample.withColumn("doc", F.monotonically_increasing_id()), spark)
+    copies = near_groups(numbered.where("p = 1").select("doc", "text"), id_col="doc", words=5, percent=80).select("doc", F.col("component_id").alias("example"))
+    sample = saved(numbered.join(F.broadcast(copies), "doc", "left").select("text", "example", "u"), spark)
+    n_p = sample.agg(F.count_distinct("example")).first()[0]
 
     def frequencies(batches):
         for b in batches:
-            example, u = b.column(1), np.asarray(b.column(2).is_valid())
+            example = b.column(1)
             for row, past, data, off in text_slices(b.column(0)):
                 doc, h = distinct_pairs(*document_features(data, off))
-                doc, f = doc + row, pa.array(h.view(np.int64))
-                yield pa.record_batch([f, example.take(pa.array(doc)), pa.array(u[doc].astype(np.int64))], names=["f", "example", "u"])
+                yield pa.record_batch([pa.array(h.view(np.int64)), example.take(pa.array(doc + row))], names=["f", "example"])
 
-    counts = (sample.mapInArrow(light(frequencies), "f long, example long, u long").groupBy("f", "example").agg(F.sum("u").alias("u"))
-              .groupBy("f").agg(F.count("example").alias("p"), F.sum("u").alias("u")))
+    held = sample.where("example IS NOT NULL").select("text", "example").mapInArrow(light(frequencies), "f long, example long").distinct()
+    often = held.groupBy("f").agg(F.count("*").alias("p")).where(F.col("p") >= LEAST_DOCS)
+    # features of at most EXAMPLES texts
+    candidates = {r["f"]: r["p"] for r in often.collect()}
+    if not candidates:
+        return Model(np.zeros(0, np.uint64))
+    shared = spark.sparkContext.broadcast(np.sort(np.array([*candidates], np.int64).view(np.uint64)))
+
+    def everywhere(batches):
+        """Documents of the fold that have each candidate; the sum of a task."""
+        known = shared.value
+        total, docs_seen = np.zeros(len(known), np.int64), 0
+        for b in batches:
+            docs_seen += b.num_rows
+            for _, _, data, off in text_slices(b.column(0)):
+                doc, h = document_features(data, off)
+                at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                on = known[at] == h
+                key = np.unique(doc[on] * len(known) + at[on])
+                total += np.bincount(key % len(known), minlength=len(known))
+        on = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(np.append(known[on].view(np.int64), 0)), pa.array(np.append(total[on], docs_seen)),
+                               pa.array([True] * len(on) + [False])], names=["f", "u", "feature"])
+
+    seen = saved(fold.select("text").mapInArrow(light(everywhere), "f long, u long, feature boolean").groupBy("feature", "f").agg(F.sum("u").alias("u")), spark)
+    n_u = seen.where("NOT feature").agg(F.sum("u")).first()[0]
+    counts = often.join(seen.where("feature").select("f", "u"), "f")
     rate_p, rate_u = F.col("p") / F.lit(max(n_p, 1)), (F.col("u") + 1) / F.lit(n_u + 1)
     error = F.sqrt(rate_u * (1 - rate_u) / F.lit(max(n_p, 1)))
     best = (counts.where((F.col("p") >= LEAST_DOCS) & (rate_p >= LEAST_RATIO * rate_u) & (rate_p - rate_u >= LEAST_SIGMA * error))
@@ -160,7 +192,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: int = 1, prior: float | No
                 yield pa.record_batch([pa.array(got, pa.list_(pa.int64())), b.column(1).slice(row, past - row),
                                        b.column(2).slice(row, past - row)], names=["at", "example", "u"])
 
-    rows = sample.mapInArrow(light(presence), "at array<long>, example long, u int").collect()
+    rows = sample.mapInArrow(light(presence), "at array<long>, example long, u int").collect()  # a row of indexes for each sampled text
     rows.sort(key=lambda r: (r["at"], r["u"] or 0))  # the same sums in any order of arrival
     examples: dict[int, list[int]] = {}
     for r in rows:
