@@ -377,3 +377,25 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return (facts.join(named, (facts.h1 == named.h1) & (facts.h2 == named.h2) & facts.known & (facts.n > 0), "left")
             .select(F.when(F.col("known"), F.col("doc_id")).alias(id_col), F.col("n").cast("long").alias("n_shingles"),
                     own.alias("component_id")))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` without those whose document links, over any number of
+    links, with one of a smaller id (ties: by a hash of the text, then the other columns).
+
+    Rows are told apart by a number of their own: rows that share an id but not
+    the text are documents of their own.  Of rows without words that agree in id
+    and text one stays.  Rows with a null id all stay.
+    """
+    spark, columns = docs.sparkSession, docs.columns
+    rest = [c for c in columns if c not in (id_col, text_col)]
+    rows = saved(docs.withColumn("__row", F.monotonically_increasing_id()), spark)
+    named = rows.where(F.col(id_col).isNotNull())
+    groups = near_groups(named, id_col="__row", text_col=text_col, words=words, percent=percent)
+    blank = F.coalesce(text_col, F.lit("")).rlike(r"\A[\t-\r ]*\z")  # no shingles: copies are equal rows
+    keys = named.select("__row", F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), *rest, "__row").alias("__order"),
+                        F.when(blank, F.col(id_col)).alias("__id"), F.when(blank, F.col(text_col)).alias("__blank"))
+    keys = saved(keys.join(groups.select("__row", F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("__group")), "__row"), spark)
+    first = keys.groupBy("__group", "__id", "__blank").agg(F.min("__order").alias("__order")).select("__order.__row")
+    others = keys.select("__row").join(first, "__row", "left_anti")
+    return rows.join(others, "__row", "left_anti").select(*columns)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -66,8 +67,33 @@ def scratch_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
+_kept: list[str] | None = None
+
+
+@contextlib.contextmanager
+def noting(paths: list[str]):
+    """Add the folders of tables that ``saved`` writes inside to ``paths``."""
+    global _kept
+    before, _kept = _kept, paths
+    try:
+        yield
+    finally:
+        _kept = before
+
+
+def remove(paths: list[str], spark: SparkSession) -> None:
+    """Delete scratch tables that nothing reads any more, on whatever store they are."""
+    jvm = spark.sparkContext._jvm
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    paths.clear()
+
+
 def saved(df: DataFrame, spark: SparkSession) -> DataFrame:
     """The rows written as a table in the scratch folder and read again."""
     path = scratch_folder(spark)
+    if _kept is not None:
+        _kept.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
