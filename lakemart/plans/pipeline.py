@@ -22,7 +22,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.operators.layout import clustered
+from lakemart.operators import skipping
 from lakemart.plans import gold, silver
 from lakemart.plans.silver import SilverConfig
 from lakemart.session import ensure_checkpoint_dir, scratch_root
@@ -30,6 +30,8 @@ from lakemart.sources import schemas as S
 from lakemart.sources import testdata
 
 SOURCES = tuple(S.SOURCES)
+#: Keys by which the fact's files are clustered, and whose ranges are stored.
+FACT_CLUSTER = ("store_key", "product_key")
 REJECTING = ("products", "orders", "order_items", "payments")
 
 
@@ -91,6 +93,12 @@ class StoredModel:
     def rejected(self, table: str) -> DataFrame:
         return self._read("quarantine", table)
 
+    def fact_where(self, **ranges) -> DataFrame:
+        """Fact rows with each column within its (low, high); reads only files
+        whose stored key ranges overlap."""
+        found = skipping.read_where(self.spark, self.lake.path("gold", "fact_sales"), self._read("stats", "fact_sales"), ranges)
+        return found.select(*gold.FACT_COLUMNS)
+
     def __getattr__(self, name: str):
         if name.startswith("silver_") and name[7:] in S.SOURCES:
             return self.silver(name[7:])
@@ -196,8 +204,13 @@ def run(spark: SparkSession, bronze: dict[str, DataFrame], lake: Lake, cfg: Silv
     def fact() -> None:
         f = gold.fact_sales(silver.enriched_items(items_c))
         if cluster_fact:
-            f = clustered(f, ["store_key", "product_key"], ["year", "month"])
+            keys = dict(zip(FACT_CLUSTER, (rows["dim_store"], rows["dim_product"])))  # dense keys: the largest is the count
+            # the row count comes from the footers of the staged table
+            f = skipping.ranged(f, keys, ("year", "month"), items_c.count(), "order_item_id")
         _write(f, lake.path("gold", "fact_sales"), partition_by=("year", "month"))
+        if cluster_fact:
+            stored = spark.read.parquet(lake.path("gold", "fact_sales"))
+            _write(skipping.file_ranges(stored, FACT_CLUSTER, ("year", "month")).coalesce(1), lake.path("stats", "fact_sales"))
 
     def quality_results() -> None:
         from lakemart.plans import dq

@@ -26,6 +26,7 @@ from lakemart.sources import schemas as S
 SLICE_YEAR, SLICE_MONTH = 1998, 1
 HISTOGRAM_WIDTH = 250_000
 SLICERS = {"category": ["Economy", "Promo"], "customer_segment": ["BUILDING", "MACHINERY"]}
+FACT_SLICE = {"store_key": (7, 7), "product_key": (100, 900), "year": (1996, 1999)}
 BATCH_ID = "20240101000000"
 
 
@@ -203,6 +204,12 @@ def _fact(c: Ctx):
     return c.model.fact_sales.drop("sales_key")
 
 
+@register("fact_store_product")
+def _fact_store_product(c: Ctx):
+    """A store's sales of a range of products, from the files whose key ranges overlap."""
+    return c.model.fact_where(**FACT_SLICE).drop("sales_key")
+
+
 @register("fact_join_audit")
 def _join_audit(c: Ctx):
     from lakemart.plans.gold import join_audit

@@ -130,6 +130,8 @@ Q["dim_date"] = "SELECT * FROM dim_date"
 Q["fact_sales"] = f"SELECT {cols(FACT_COLS)} FROM fact_sales"
 Q["fact_join_audit"] = ("SELECT order_item_id FROM s_order_items WHERE order_item_id NOT IN "
                        "(SELECT order_item_id FROM fact_sales)")
+Q["fact_store_product"] = (f"SELECT {cols(FACT_COLS)} FROM fact_sales WHERE store_key = 7 AND product_key BETWEEN 100 AND 900 "
+                           "AND year BETWEEN 1996 AND 1999")
 Q["star_wide"] = (f"SELECT {cols(FACT_COLS, 'f')}, c.customer_id, c.customer_segment, c.city AS customer_city, "
                   "c.state AS customer_state, c.gender, c.customer_status, p.product_id, p.product_name, p.category, "
                   "p.subcategory, p.brand, p.supplier, s.store_id, s.store_name, s.city AS store_city, "
