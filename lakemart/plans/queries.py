@@ -156,6 +156,43 @@ for _t in ("products", "orders", "order_items", "payments"):
     register(f"{_t}_rejected")(lambda c, t=_t: c.model.rejected(t))
 
 
+def incremental(c: Ctx):
+    """Bronze of the test folder in three micro-batches, children before their
+    parents: items and payments of a third of the orders arrive one batch early,
+    customers of another third one batch late.  Built once per folder and application."""
+    import uuid
+
+    from lakemart.plans.model import FIXTURE_CONFIG
+    from lakemart.session import scratch_root
+    from lakemart.streaming.silver_stream import IncrementalSilver
+    key = (c.spark.sparkContext.applicationId, c.sf_dir)
+    if key not in _INCREMENTAL:
+        inc = IncrementalSilver(c.spark, f"{scratch_root(c.spark)}/incremental-{uuid.uuid4().hex}", FIXTURE_CONFIG, buckets=4)
+        late = {"customers": ("customer_id", 1), "products": ("product_id", 1), "stores": ("store_id", 0), "orders": ("order_id", 1),
+                "order_items": ("order_id", 0), "payments": ("order_id", 0)}
+
+        def part(table: str, n: int) -> DataFrame:
+            fk, shift = late[table]
+            return c.model.bronze[table].filter(F.least(F.pmod(F.xxhash64(F.coalesce(fk, F.lit(""))), F.lit(3)) + shift, F.lit(2)) == n)
+
+        for n in range(3):
+            inc.apply({t: part(t, n) for t in late}, n)
+        _INCREMENTAL[key] = inc
+    return _INCREMENTAL[key]
+
+
+_INCREMENTAL: dict = {}
+
+for _t in ("orders", "order_items", "payments"):
+    register(f"incremental_{_t}")(lambda c, t=_t: incremental(c).silver(t).select(*c.model.silver(t).columns))
+
+
+@register("incremental_rejections")
+def _incremental_rejections(c: Ctx):
+    from lakemart.plans.silver import rejection_summary
+    return rejection_summary({t: incremental(c).rejected(t) for t in ("products", "orders", "order_items", "payments")})
+
+
 @register("rejection_summary")
 def _rej_summary(c: Ctx):
     from lakemart.plans.silver import rejection_summary

@@ -107,6 +107,9 @@ Q["rejection_summary"] = "\nUNION ALL ".join(
     f"SELECT '{t}' AS table_name, rejected_reason, COUNT(*) AS rejected_rows FROM c_{t} "
     "WHERE rejected_reason IS NOT NULL GROUP BY rejected_reason"
     for t in ("products", "orders", "order_items", "payments"))
+for t in ("orders", "order_items", "payments"):  # whatever the order in which the rows arrived
+    Q[f"incremental_{t}"] = Q[f"silver_{t}"]
+Q["incremental_rejections"] = Q["rejection_summary"]
 Q["fk_valid_orders"] = (f"SELECT {cols(bronze_columns('orders'))} FROM d_orders "
                         "WHERE customer_id IN (SELECT customer_id FROM s_customers)")
 Q["fk_invalid_orders"] = (f"SELECT {cols(bronze_columns('orders'), 'd')} FROM d_orders d WHERE NOT EXISTS "
