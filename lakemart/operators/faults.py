@@ -1,9 +1,9 @@
 """Fault injection for tests: exactly ``int(n * pct)`` rows get a defect.
 
 Rows are picked by the smallest MD5 of (seed, key, copy number) -- independent
-of partitioning, repeatable, and the same in any engine -- using the distributed dense ranking of
-``keys.with_dense_key`` (no row funnels through one task); ``n`` is a scalar
-subquery, never collected.  Every injector returns the frame plus a boolean
+of partitioning, repeatable, and the same in any engine.  The digest up to which
+rows are picked comes from a histogram (see ``_rank_flag``), so the rows
+themselves are neither sorted nor moved.  Every injector returns the frame plus a boolean
 column ``_picked_<label>`` consumed by ``issue_report``.
 """
 
@@ -13,11 +13,9 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakemart.operators.keys import with_dense_key
-
 
 #: Number of a row's copy, present once duplicates were injected; dropped with the flags.
 COPY = "_picked__copy"
@@ -31,12 +29,29 @@ def _digest(df: DataFrame, seed: int, key: str) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string"), _copy_no(df).cast("string")))
 
 
+#: Hexadecimal digits of a digest that make a histogram's bins (16**5 rows at most).
+BIN_DIGITS = 5
+
+
 def _rank_flag(df: DataFrame, key: str, pct: float, seed: int, flag: str) -> DataFrame:
-    n = df.agg(F.count(F.lit(1))).scalar()
-    h = df.withColumns({"_h": _digest(df, seed, key), "_c": _copy_no(df)})
-    ranked = with_dense_key(h, ["_h", key, "_c"], "_rank")
+    """Flag the ``int(n * pct)`` rows of the smallest digests.
+
+    The row that stands at that place is found by two small queries, run here: a
+    histogram of digest beginnings gives its bin and its place in the bin, and the
+    digests of that one bin give its digest; one value of each comes to the driver.  Every row is then compared with it where it is:
+    rows are neither sorted nor shuffled.  A key with its copy number tells rows
+    apart; rows that agree in both are flagged together."""
+    digest = _digest(df, seed, key)
+    bins = df.groupBy(F.substring(digest, 1, BIN_DIGITS).alias("_bin")).agg(F.count(F.lit(1)).alias("_n"))
+    upto = F.sum("_n").over(Window.orderBy("_bin"))  # at most 16**BIN_DIGITS rows
+    n = F.sum("_n").over(Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     k = F.floor(n.cast("decimal(20,0)") * F.lit(Decimal(str(pct))))  # exact: int(n * pct)
-    return ranked.withColumn(flag, F.col("_rank") <= k).drop("_h", "_c", "_rank")
+    place = bins.select("_bin", (k - upto + F.col("_n")).cast("long").alias("_rank"), "_n").filter("_rank > 0 AND _rank <= _n").first()
+    if place is None:
+        return df.withColumn(flag, F.lit(False))
+    inside = df.select(digest.alias("_h")).filter(F.substring("_h", 1, BIN_DIGITS) == place["_bin"])
+    last = inside.agg(F.sort_array(F.collect_list("_h"))[place["_rank"] - 1]).first()[0]
+    return df.withColumn(flag, F.coalesce(digest <= F.lit(last), F.lit(False)))
 
 
 def inject_nulls(df: DataFrame, col: str, pct: float, key: str, seed: int = 42, label: str | None = None) -> DataFrame:

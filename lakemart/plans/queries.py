@@ -381,6 +381,18 @@ def _inject_fk(c: Ctx):
     return faults.strip_flags(faults.inject_invalid_fk(c.model.silver_orders, "customer_id", 0.01, "order_id", "CUST"))
 
 
+def _register_issue_plan(table: str):
+    """All rows of a table after its whole issue plan."""
+    @register(f"injected_{table}")
+    def _injected(c: Ctx):
+        from lakemart.operators import faults
+        return faults.strip_flags(faults.apply_issues(c.model.silver(table), S.KEYS[table], faults.ISSUE_PLANS[table]))
+
+
+for _t in ("customers", "orders"):
+    _register_issue_plan(_t)
+
+
 @register("fault_injection_report")
 def _fault_report(c: Ctx):
     from lakemart.operators import faults

@@ -395,18 +395,28 @@ Q["dqsql_09b"] = _tf("b_payments", f"payment_status NOT IN ({', '.join(repr(v) f
 
 # ----- fault injection report: exactly floor(n * pct) rows per issue; a
 # duplicates issue grows the table for the issues after it
+# Table, rows added before by duplicates (as a fraction), issue, fraction.
+_ISSUES = [
+    ("customers", None, "Customers landed twice", "0.01"), ("customers", "0.01", "Customers without city", "0.02"),
+    ("customers", "0.01", "City spelled in mixed case", "0.03"), ("products", None, "Products without category", "0.02"),
+    ("products", None, "Products priced below zero", "0.01"), ("orders", None, "Orders landed twice", "0.005"),
+    ("orders", "0.005", "Orders of an unknown customer", "0.01"), ("order_items", None, "Items of negative quantity", "0.005"),
+    ("order_items", None, "Items of an unknown product", "0.01"), ("payments", None, "Payments landed twice", "0.01"),
+    ("payments", "0.01", "Payments below zero", "0.01"), ("payments", "0.01", "Payments without reference", "0.02"),
+]
+
+
+def _share(n: str, fraction: str) -> str:
+    return f"CAST(floor(CAST({n} AS DECIMAL(20,0)) * CAST('{fraction}' AS DECIMAL(10,6))) AS BIGINT)"
+
+
 def _fault_report() -> str:
-    from lakemart.operators.faults import ISSUE_PLANS
     parts = []
-    for table, issues in ISSUE_PLANS.items():
-        grow = "0"
-        for iss in issues:
-            n = f"((SELECT COUNT(*) FROM s_{table}) + {grow})"
-            k = f"CAST(floor(CAST({n} AS DECIMAL(20,0)) * CAST('{iss.pct}' AS DECIMAL(10,6))) AS BIGINT)"
-            parts.append(f"SELECT '{table}' AS table_name, '{iss.label}' AS issue, "
-                         f"CAST({round(iss.pct * 100, 6)} AS DOUBLE) AS target_pct, {k} AS rows_affected")
-            if iss.kind == "duplicates":
-                grow = f"({grow} + {k})"
+    for table, grown, issue, fraction in _ISSUES:
+        n = f"(SELECT COUNT(*) FROM s_{table})"
+        if grown:
+            n = f"({n} + {_share(n, grown)})"
+        parts.append(f"SELECT '{table}' AS table_name, '{issue}' AS issue, 100 * CAST({fraction} AS DOUBLE) AS target_pct, {_share(n, fraction)} AS rows_affected")
     return "\nUNION ALL ".join(parts)
 
 
@@ -439,5 +449,27 @@ Q["inject_invalid_fk"] = _injected("orders", "order_id", "0.01", "customer_id",
                                    f"'NOCUST-' || upper(substr({_md5(44, 'order_id')}, 1, 16))")
 
 
+def _step(source: str, key: str, seed: int, fraction: str, change: str) -> str:
+    """Rows of ``source`` (with their copy number) changed where picked; ``change`` reads ``picked`` and ``other`` (a digest of the next seed)."""
+    return (f"(SELECT * REPLACE ({change}) FROM (SELECT *, row_number() OVER (ORDER BY md5(concat_ws('|', '{seed}', {key}, copy)), {key}, copy) <= "
+            f"floor(CAST(COUNT(*) OVER () AS DECIMAL(20,0)) * CAST('{fraction}' AS DECIMAL(10,6))) AS picked, md5(concat_ws('|', '{seed + 1}', {key}, copy)) AS other, "
+            f"md5(concat_ws('|', '{seed + 2}', {key}, copy)) AS third FROM (SELECT * EXCLUDE (picked, other, third) FROM {source})))")
+
+
+def _twice(table: str, key: str, seed: int, fraction: str) -> str:
+    """The table with its picked rows a second time, as copy 1."""
+    one = _step(f"(SELECT *, 0 AS copy, false AS picked, '' AS other, '' AS third FROM s_{table})", key, seed, fraction, "picked AS picked")
+    return f"(SELECT * FROM {one} UNION ALL SELECT * REPLACE (1 AS copy) FROM {one} WHERE picked)"
+
+
+_c = _step(_twice("customers", "customer_id", 42, "0.01"), "customer_id", 143, "0.02", "CASE WHEN picked THEN NULL ELSE city END AS city")
+_c = _step(_c, "customer_id", 244, "0.03", f"CASE WHEN NOT picked THEN city ELSE CASE ascii(other) % 3 WHEN 0 THEN upper(city) WHEN 1 THEN lower(city) "
+                                           f"ELSE {initcap('city')} END END AS city")
+Q["injected_customers"] = f"SELECT {cols(SILVER_COLS['customers'])} FROM {_c}"
+_o = _step(_twice("orders", "order_id", 42, "0.005"), "order_id", 143, "0.01",
+           "CASE WHEN picked THEN 'NOCUST-' || upper(substr(third, 1, 16)) ELSE customer_id END AS customer_id")
+Q["injected_orders"] = f"SELECT {cols(SILVER_COLS['orders'])} FROM {_o}"
+
+
 def oracle_sql() -> dict[str, str]:
     return {k: PREFIX + v for k, v in Q.items()}

@@ -47,3 +47,16 @@ def test_copies_are_hit_on_their_own(spark):
     pairs = d.groupBy("customer_id").agg(F.count("*").alias("n"), F.count_if(F.col("city").isNull()).alias("nulls"))
     got = {r.nulls: r["count"] for r in pairs.filter("n = 2").groupBy("nulls").count().collect()}
     assert sum(got.values()) == 200 and got.get(1, 0) > 20
+
+
+def test_picks_are_the_smallest_digests_without_sort_or_checkpoint(spark):
+    from hashlib import md5
+    df = _customers(spark, 3000).cache()
+    for pct, n in ((0.0, 0), (0.0001, 0), (0.001, 3), (0.37, 1110), (1.0, 3000)):
+        out = faults.inject_nulls(df, "city", pct, "customer_id", seed=5)
+        got = {r.customer_id for r in out.filter("city IS NULL").select("customer_id").collect()}
+        ids = [r.customer_id for r in df.select("customer_id").collect()]
+        assert got == set(sorted(ids, key=lambda c: md5(f"5|{c}|0".encode()).hexdigest())[:n])
+    main = out._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in main and "Join" not in main and "Exchange hash" not in main and "Exchange range" not in main
+    assert faults.inject_nulls(df.limit(0), "city", 0.5, "customer_id").count() == 0

@@ -15,7 +15,7 @@ ORDERS = {  # query: sort key of a row
     "bm16_payment_failure_rate": lambda r: (-r.failure_rate_pct, r.payment_method),
     "monthly_net_sales": lambda r: (r.year, r.month),
     "revenue_profit_by_category": lambda r: (-r.total_net_sales, r.category),
-    "dq_summary": lambda r: (r.layer, r.table_name, r.check_name),
+    "dq_summary": lambda r: (r.table_name, r.check_name, r.layer),
     "top10_products": lambda r: (-r.total_sales, r.product_id),
     "bottom10_products": lambda r: (r.total_sales, r.product_id),
 }
