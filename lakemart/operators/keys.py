@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakemart.session import ensure_checkpoint_dir
@@ -45,6 +45,37 @@ def with_dense_key(df: DataFrame, order_cols: str | Sequence[str], key_name: str
             .select(key.alias(key_name), *df.columns))
 
 
+class KeyRegistry:
+    """Lasting surrogate keys: a stored table (``natural_key``, ``key_name``, batch)
+    that only grows.  A member keeps the key of the batch that first had it; members
+    that are new are numbered after the largest key, in the order of ``natural_key``.
+
+    Each batch (0, 1, 2, ...) writes a folder of its own, numbered against the batches
+    before it, so a batch that failed is run again with the same members and gives the
+    same keys.  Null members get no key; repeated ones get one.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, natural_key: str, key_name: str):
+        self.spark, self.path, self.natural_key, self.key_name = spark, path, natural_key, key_name
+
+    def keys(self) -> DataFrame:
+        """All keys given so far."""
+        return self.spark.read.option("basePath", self.path).parquet(self.path)
+
+    def extend(self, members: DataFrame, batch: int) -> DataFrame:
+        """Register the members of a batch; returns all keys up to it."""
+        fresh = members.select(self.natural_key).where(F.col(self.natural_key).isNotNull()).distinct()
+        top = None
+        if batch:
+            known = self.keys().where(F.col("batch") < batch)
+            fresh = fresh.join(known.select(self.natural_key), self.natural_key, "left_anti")
+            top = known.agg(F.coalesce(F.max(self.key_name), F.lit(0))).first()[0]
+        numbered = with_dense_key(fresh, self.natural_key, self.key_name)
+        numbered = numbered.select(self.natural_key, (F.col(self.key_name) + F.lit(top or 0)).cast("long").alias(self.key_name))
+        numbered.write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
+        return self.keys().where(F.col("batch") <= batch)
+
+
 def with_row_number_key(df: DataFrame, order_cols: str | Sequence[str], key_name: str) -> DataFrame:
     """Plain ``row_number() over (order by ...)``: one task, for tiny tables only."""
     order = [order_cols] if isinstance(order_cols, str) else list(order_cols)

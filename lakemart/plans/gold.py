@@ -27,23 +27,27 @@ FACT_COLUMNS = ["sales_key", "order_id", "order_item_id", "customer_key", "produ
                 "year", "month"]
 
 
-def _dim(silver: DataFrame, natural_key: str, key: str, name: str) -> DataFrame:
+def _dim(silver: DataFrame, natural_key: str, key: str, name: str, keys: DataFrame | None = None) -> DataFrame:
+    """``keys`` (natural key, surrogate key), of a ``KeyRegistry``, in place of new numbers."""
     cols = [c for c in DIM_COLUMNS[name] if c != key]
     # dimension keys are INT by contract; under ANSI the cast raises past 2^31 - 1 rows
-    keyed = with_dense_key(silver.select(*cols), natural_key, key)
+    if keys is None:
+        keyed = with_dense_key(silver.select(*cols), natural_key, key)
+    else:
+        keyed = silver.select(*cols).join(keys.select(natural_key, key), natural_key)
     return keyed.withColumn(key, F.col(key).cast("int")).select(*DIM_COLUMNS[name])
 
 
-def dim_customer(silver_customers: DataFrame) -> DataFrame:
-    return _dim(silver_customers, "customer_id", "customer_key", "dim_customer")
+def dim_customer(silver_customers: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+    return _dim(silver_customers, "customer_id", "customer_key", "dim_customer", keys)
 
 
-def dim_product(silver_products: DataFrame) -> DataFrame:
-    return _dim(silver_products, "product_id", "product_key", "dim_product")
+def dim_product(silver_products: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+    return _dim(silver_products, "product_id", "product_key", "dim_product", keys)
 
 
-def dim_store(silver_stores: DataFrame) -> DataFrame:
-    return _dim(silver_stores, "store_id", "store_key", "dim_store")
+def dim_store(silver_stores: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+    return _dim(silver_stores, "store_id", "store_key", "dim_store", keys)
 
 
 def dim_date(silver_orders: DataFrame, date_col: str = "order_date") -> DataFrame:

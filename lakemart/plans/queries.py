@@ -27,6 +27,7 @@ SLICE_YEAR, SLICE_MONTH = 1998, 1
 HISTOGRAM_WIDTH = 250_000
 SLICERS = {"category": ["Economy", "Promo"], "customer_segment": ["BUILDING", "MACHINERY"]}
 FACT_SLICE = {"store_key": (7, 7), "product_key": (100, 900), "year": (1996, 1999)}
+DRIFT = {"changed": "77", "lost": "13", "doubled": "51"}
 BATCH_ID = "20240101000000"
 
 
@@ -141,6 +142,34 @@ def _handoff(c: Ctx):
     ])
 
 
+@register("handoff_drift")
+def _drift(c: Ctx):
+    """An exported fact that lost, doubled and changed rows, held against its source by checksums."""
+    import uuid
+
+    from lakemart.session import scratch_root
+    fact, path = c.model.fact_sales, f"{scratch_root(c.spark)}/export-{uuid.uuid4().hex}"
+    order = F.col("order_id")
+    changed = F.when(order.endswith(DRIFT["changed"]), F.col("net_sales") + F.lit(1)).otherwise(F.col("net_sales"))
+    sent = fact.where(~order.endswith(DRIFT["lost"])).withColumn("net_sales", changed.cast(fact.schema["net_sales"].dataType))
+    publish.export_table(sent.unionByName(fact.where(order.endswith(DRIFT["doubled"]))), path)
+    return publish.changed_rows(fact, c.spark.read.parquet(path), ["order_item_id"])
+
+
+@register("dim_customer_lasting")
+def _lasting(c: Ctx):
+    """The customer dimension by a key registry that met some segments first, then all customers."""
+    import uuid
+
+    from lakemart.operators.keys import KeyRegistry
+    from lakemart.plans import gold
+    from lakemart.session import scratch_root
+    members = c.model.silver_customers
+    registry = KeyRegistry(c.spark, f"{scratch_root(c.spark)}/keys-{uuid.uuid4().hex}", "customer_id", "customer_key")
+    registry.extend(members.where(F.col("customer_segment").isin(*SLICERS["customer_segment"])), 0)
+    return gold.dim_customer(members, registry.extend(members, 1))
+
+
 @register("zorder_value")
 def _zorder(c: Ctx):
     f = c.model.fact_sales
