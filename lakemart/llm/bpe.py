@@ -27,6 +27,8 @@ from lakemart.llm.memory import Memory, light
 MEMORY = 250_000
 #: Texts are encoded in groups of about so many characters.
 GROUP_CHARS = 1 << 20
+#: Fewer words of a width than this are merged one by one, not as the rows of an array.
+FEW = 16
 _EMPTY = np.int64(1) << 62
 #: Characters whose properties are the same in all Unicode versions of the libraries used here.
 _SETTLED = regex.compile("[^\x00-ԯ‐-⁞₠-₿←-⏿─-➿ぁ-ゖ"
@@ -82,6 +84,7 @@ class Bpe:
         order = np.argsort(keys, kind="stable")
         self.keys, self.ranks = np.append(keys[order], _EMPTY), np.append(order, 0)
         self.made = np.array(made, np.int64)
+        self._pairs: dict[int, int] | None = None
         self.memory, self.word_memory = Memory(MEMORY), Memory(MEMORY)
 
     def rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -139,6 +142,53 @@ class Bpe:
             tree[rows, node] = np.minimum(tree[rows, 2 * node], tree[rows, 2 * node + 1])
             w >>= 1
 
+    def merge_one(self, sym: list[int], w: int) -> list[int]:
+        """Merge one word, a list of symbols, over a tree of ``w`` leaves (a power
+        of two); returns the symbols left.  An update of a leaf stops at the first
+        node that it leaves as it was."""
+        if self._pairs is None:
+            self._pairs = dict(zip(self.keys[:-1].tolist(), self.ranks[:-1].tolist(), strict=True))
+        pairs, width, none, n = self._pairs, self.width, int(_EMPTY), len(sym)
+
+        def leaf(a: int, b: int, at: int) -> int:
+            rank = pairs.get(a * width + b)
+            return none if rank is None else rank * w + at
+
+        tree = [none] * w + [leaf(a, b, i) for i, (a, b) in enumerate(zip(sym, sym[1:], strict=False))]
+        tree += [none] * (2 * w - len(tree))
+        for node in range(w - 1, 0, -1):
+            tree[node] = min(tree[2 * node], tree[2 * node + 1])
+
+        def put(at: int, value: int) -> None:
+            node = at + w
+            tree[node] = value
+            while node > 1:
+                other = tree[node ^ 1]
+                node >>= 1
+                low = value if value < other else other
+                if tree[node] == low:
+                    return
+                tree[node] = value = low
+
+        made = self.made.tolist() if n > 4096 else self.made
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        while tree[1] < none:
+            rank, p = divmod(tree[1], w)
+            q = after[p]
+            nxt = after[q]
+            sym[p] = int(made[rank])
+            sym[q] = -1
+            after[p] = nxt
+            put(q, none)
+            if nxt < n:
+                before[nxt] = p
+                put(p, leaf(sym[p], sym[nxt], p))
+            else:
+                put(p, none)
+            if before[p] >= 0:
+                put(before[p], leaf(sym[before[p]], sym[p], before[p]))
+        return [x for x in sym if x >= 0]
+
     def words(self, words: list[bytes]) -> list[tuple[bytes, str]]:
         """Ids and decoded text of each word, given as its UTF-8 bytes (not empty)."""
         out: list = [None] * len(words)
@@ -147,6 +197,13 @@ class Bpe:
         name = self.strings.__getitem__
         for w in np.unique(width):
             rows_at = np.flatnonzero(width == w)
+            if len(rows_at) < FEW:
+                for i in rows_at.tolist():
+                    sym = self.inner[np.frombuffer(words[i], np.uint8)].tolist()
+                    sym[-1] = int(self.final[words[i][-1]])
+                    ids = self.merge_one(sym, int(w))
+                    out[i] = np.array(ids, "<u4").tobytes(), " ".join(map(name, ids))
+                continue
             step = max(1, (1 << 19) // int(w))
             for k in range(0, len(rows_at), step):
                 at = rows_at[k: k + step]

@@ -37,7 +37,10 @@ SIBLINGS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}),
             "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
             "tbody": ({"thead", "tbody", "tfoot", "tr", "td", "th"}, {"table"}),
             "tfoot": ({"thead", "tbody", "tfoot", "tr", "td", "th"}, {"table"})}
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+#: A tag whose attributes hold neither < nor >, which is nearly every tag.
+_PLAIN = re.compile(r"<(/?)([a-zA-Z][^\s/<>\"']*+)(?=[\s/>])((?:[^<>\"']++|\"[^\"<>]*+\"|'[^'<>]*+')*+)>")
+_NAME_END = re.compile(r"[\s/>]")
+_MARK = re.compile(r"[>\"']")
 _ATTR = re.compile(r"\b(?:class|id|role|aria-label|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDES = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?until)|display\s*:\s*none", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -57,35 +60,109 @@ FEATURES = {name: i for i, name in enumerate(
 FLOW = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre td th tr tbody thead tfoot ul ol dl table figure figcaption caption".split())
 
 
+class _Next:
+    """Places of a pattern, asked for from left to right: the text is searched once."""
+
+    def __init__(self, pattern: re.Pattern, text: str):
+        self.search, self.text, self.at = pattern.search, text, -1
+
+    def __call__(self, start: int) -> int:
+        """The first place from ``start`` on (the text's end if there is none)."""
+        if self.at < start:
+            m = self.search(self.text, start)
+            self.at = m.start() if m else len(self.text)
+        return self.at
+
+
+class Tags:
+    """Markup of a page from left to right, in time proportional to its length:
+    what an unclosed tag, quote or comment looked for in vain is not looked for again."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.name_end, self.mark = _Next(_NAME_END, text), _Next(_MARK, text)
+        self.last = {c: text.rfind(c) for c in (">", '"', "'", "]]>")}
+        self.open_ended: set[int] = set()  # marks from which on no tag ends
+
+    def next(self, at: int) -> tuple[int, int, str | None, bool, str | None, str] | None:
+        """The first markup from ``at`` on: start, end, marked text of a CDATA
+        section, whether it is an end tag, name (None if it is no tag), attributes."""
+        text = self.text
+        start = text.find("<", at)
+        while start >= 0:
+            m = _PLAIN.match(text, start)
+            if m:
+                return start, m.end(), None, m[1] == "/", m[2], m[3]
+            if text.startswith("<!--", start):
+                end = text.find("-->", start + 4)
+                return start, end + 3 if end >= 0 else len(text), None, False, None, ""
+            if start > self.last[">"]:
+                start = text.find("<!--", start)  # nothing but an unclosed comment
+                continue
+            if text.startswith("<![CDATA[", start) and start + 9 <= self.last["]]>"]:
+                end = text.find("]]>", start + 9)
+                return start, end + 3, text[start + 9: end], False, None, ""
+            if text.startswith(("<!", "<?"), start):
+                end = text.find(">", start + 2)
+                if end >= 0:
+                    return start, end + 1, None, False, None, ""
+            else:
+                closing = text.startswith("/", start + 1)
+                name = start + 1 + closing
+                first = text[name: name + 1]
+                if first.isascii() and first.isalpha():
+                    attrs = self.name_end(name)
+                    end = self._tag_end(attrs)
+                    if end >= 0:
+                        return start, end + 1, None, closing, text[name:attrs], text[attrs:end]
+            start = text.find("<", start + 1)
+        return None
+
+    def _tag_end(self, at: int) -> int:
+        """Place of the > outside of quotes that ends a tag, or -1."""
+        text, seen = self.text, []
+        at = self.mark(at)
+        while at < len(text) and at not in self.open_ended:
+            if text[at] == ">":
+                return at
+            seen.append(at)
+            if self.last[text[at]] == at:
+                break
+            m = _MARK.search(text, text.find(text[at], at + 1) + 1)
+            at = m.start() if m else len(text)
+        self.open_ended.update(seen)
+        return -1
+
+
 class Dom:
     """Block nodes of a page: parents, tags, features and pieces of text in page order."""
 
-    __slots__ = ("parent", "tag", "feature", "pieces", "links", "size", "whole")
+    __slots__ = ("parent", "tag", "feature", "pieces", "links", "size", "stack", "open")
 
     def __init__(self, text: str):
         self.parent, self.tag, self.feature, self.pieces, self.links, self.size = [-1], ["html"], [""], [], [0], [0]
-        stack = [("html", 0, False, False)]  # tag, block node, hidden, link
-        at = 0
-        for m in _TAG.finditer(text):
-            if m.start() < at:
-                continue  # inside raw text
-            if m.start() > at:
-                self._put(stack[-1], text[at:m.start()])
-            at = m.end()
-            tag = m[3]
+        stack = self.stack = [("html", 0, False, False)]  # tag, block node, hidden, link
+        self.open: dict[str, list[int]] = {}  # places in the stack of each tag, the root aside
+        tags, at = Tags(text), 0
+        while (found := tags.next(at)) is not None:
+            start, end, marked, closing, tag, attrs = found
+            if start > at:
+                self._put(stack[-1], text[at:start])
+            at = end
             if tag is None:
-                if m[1]:
-                    self._put(stack[-1], m[1])
+                if marked:
+                    self._put(stack[-1], marked)
                 continue
             tag = tag.lower()
-            if m[2]:
-                self._close(stack, tag)
+            if closing:
+                self._close(tag)
                 continue
-            self._open(stack, tag, m[4])
+            self._open(tag, attrs)
             if tag in RAW and stack[-1][0] == tag:
-                end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(text, at)
-                at = end.end() if end else len(text)
-                stack.pop()
+                m = re.compile(rf"</{tag}\b", re.I).search(text, at)
+                over = text.find(">", m.end()) if m else -1
+                at = over + 1 if over >= 0 else len(text)
+                self._cut(len(stack) - 1)
         if at < len(text):
             self._put(stack[-1], text[at:])
 
@@ -97,23 +174,24 @@ class Dom:
             if top[3]:
                 self.links[top[1]] += n
 
-    def _open(self, stack, tag: str, attrs: str) -> None:
+    def _open(self, tag: str, attrs: str) -> None:
+        stack = self.stack
         if tag == "br" or tag == "hr":
             self._put(stack[-1], " ")
         if tag in CLOSES_P:
-            self._end(stack, {"p"}, {"td", "th", "table", "button", "object"})
+            self._end({"p"}, {"td", "th", "table", "button", "object"})
         if tag in SIBLINGS:
-            self._end(stack, *SIBLINGS[tag])
+            self._end(*SIBLINGS[tag])
         if tag in VOID:
             return
-        if tag in ("html", "body") and any(s[0] == tag for s in stack):
+        if tag == "html" or (tag == "body" and self.open.get("body")):
             return
         top = stack[-1]
         if tag != "body" and top[0] == "head" and tag in BLOCK:
-            stack.pop()
+            self._cut(len(stack) - 1)
             top = stack[-1]
         if tag == "body" and top[0] == "head":
-            stack.pop()
+            self._cut(len(stack) - 1)
             top = stack[-1]
         hidden = top[2] or tag in HIDDEN or bool(attrs and _HIDES.search(attrs))
         node = top[1]
@@ -124,27 +202,31 @@ class Dom:
             self.feature.append(" ".join(a or b or c for a, b, c in _ATTR.findall(attrs)) if attrs else "")
             self.links.append(0)
             self.size.append(0)
+        self.open.setdefault(tag, []).append(len(stack))
         stack.append((tag, node, hidden, top[3] or tag == "a"))
 
-    @staticmethod
-    def _end(stack, kinds, bounds) -> None:
-        """Close the innermost open element of ``kinds`` down to one of ``bounds``."""
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i][0] in kinds:
-                del stack[i:]
-                return Dom._end(stack, kinds, bounds) if len(kinds) > 2 else None
-            if stack[i][0] in bounds:
-                return None
-        return None
+    def _cut(self, at: int) -> None:
+        """Close the elements from place ``at`` of the stack on."""
+        for tag, *_ in reversed(self.stack[at:]):
+            self.open[tag].pop()
+        del self.stack[at:]
+
+    def _innermost(self, tags) -> int:
+        """Place of the innermost open element of ``tags``, or 0."""
+        return max((self.open[t][-1] for t in tags if self.open.get(t)), default=0)
+
+    def _end(self, kinds, bounds) -> None:
+        """Close the innermost open element of ``kinds`` down to one of ``bounds``;
+        of three kinds or more, all of them."""
+        while (at := self._innermost(kinds)) and at > self._innermost(bounds):
+            self._cut(at)
+            if len(kinds) < 3:
+                break
 
-    @staticmethod
-    def _close(stack, tag: str) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i][0] == tag:
-                del stack[i:]
-                return
-            if stack[i][0] in ("td", "th") and tag not in BLOCK:
-                return
+    def _close(self, tag: str) -> None:
+        at = self._innermost((tag,))
+        if at and (tag in BLOCK or at > self._innermost(("td", "th"))):
+            self._cut(at)
 
 
 @lru_cache(maxsize=20_000)
@@ -335,7 +417,8 @@ def extract_text(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...]
     """The columns ``keep`` and the main text (empty if there is none) of every row.
 
     Null and empty pages give an empty text; broken markup is read as far as
-    it goes; null ids and repeated rows stay as they are; other columns are
+    it goes (a tag that never ends is text, a comment or script that never ends
+    reaches to the end), in time proportional to the page; null ids and repeated rows stay as they are; other columns are
     not read.  A column of ``keep`` must not be named text.
     """
     weights = trained()
