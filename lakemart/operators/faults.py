@@ -90,6 +90,17 @@ def inject_invalid_numeric(df: DataFrame, col: str, pct: float, key: str, negati
     return d.withColumn(col, F.when(F.col(flag), bad).otherwise(F.col(col)))
 
 
+#: A date that no order can have had.
+FAR_DATE = "2999-12-31"
+
+
+def inject_far_date(df: DataFrame, col: str, pct: float, key: str, seed: int = 42, label: str | None = None) -> DataFrame:
+    flag = f"_picked_{label or 'date_' + col}"
+    d = _rank_flag(df, key, pct, seed, flag)
+    far = F.lit(FAR_DATE).cast(d.schema[col].dataType)
+    return d.withColumn(col, F.when(F.col(flag), far).otherwise(F.col(col)))
+
+
 def inject_invalid_fk(df: DataFrame, col: str, pct: float, key: str, prefix: str, seed: int = 42,
                       label: str | None = None) -> DataFrame:
     """Replace the FK with ``NO<prefix>-<hash>``, a form that no parent id has
@@ -102,7 +113,7 @@ def inject_invalid_fk(df: DataFrame, col: str, pct: float, key: str, prefix: str
 
 @dataclass(frozen=True)
 class Issue:
-    kind: str          # nulls | duplicates | case | negative | zero | fk
+    kind: str          # nulls | duplicates | case | negative | zero | fk | date
     pct: float
     col: str | None = None
     prefix: str | None = None
@@ -126,6 +137,13 @@ ISSUE_PLANS: dict[str, list[Issue]] = {
                  Issue("nulls", 0.02, "transaction_reference", label="Payments without reference")],
 }
 
+#: The issue plans and the defects that the other checks look for: dates, statuses, unknown orders.
+CHECK_PLANS: dict[str, list[Issue]] = ISSUE_PLANS | {
+    "orders": [*ISSUE_PLANS["orders"], Issue("nulls", 0.01, "order_date"), Issue("date", 0.005, "order_date"),
+               Issue("case", 0.02, "order_status")],
+    "payments": [*ISSUE_PLANS["payments"], Issue("case", 0.02, "payment_status"), Issue("fk", 0.01, "order_id", "ORD")],
+}
+
 
 def _slug(label: str) -> str:
     return "".join(ch if ch.isalnum() else "_" for ch in label.lower()).strip("_")
@@ -143,6 +161,8 @@ def apply_issues(df: DataFrame, key: str, issues: Sequence[Issue], seed: int = 4
             df = inject_inconsistent_case(df, iss.col, iss.pct, key, s, lab)
         elif iss.kind in ("negative", "zero"):
             df = inject_invalid_numeric(df, iss.col, iss.pct, key, iss.kind == "negative", s, lab)
+        elif iss.kind == "date":
+            df = inject_far_date(df, iss.col, iss.pct, key, s, lab)
         elif iss.kind == "fk":
             df = inject_invalid_fk(df, iss.col, iss.pct, key, iss.prefix, s, lab)
         else:

@@ -62,6 +62,40 @@ SQL = {
 }
 
 
+def _failing(table: str, condition: str) -> str:
+    return f"SELECT COUNT(*) AS total_records, COUNT_IF({condition}) AS failed_records FROM {{db}}bronze_{table}"
+
+
+def _orphans(child: str, parent: str, key: str) -> str:
+    return (f"SELECT COUNT(*) AS invalid_fk_count FROM {{db}}bronze_{child} AS child "
+            f"LEFT ANTI JOIN {{db}}bronze_{parent} AS parent ON child.{key} = parent.{key}")
+
+
+def _one_of(values: list[str]) -> str:
+    return "(" + ", ".join(f"'{v}'" for v in values) + ")"
+
+
+#: The stand-alone checks of the bronze layer as Spark SQL text.
+CHECKS = {
+    "check_null_city": (
+        "SELECT total_records, failed_records, CAST(ROUND(CAST(failed_records * 100 AS DECIMAL(38, 0)) / total_records, 2) AS DOUBLE) AS failed_pct "
+        "FROM (" + _failing("customers", "city IS NULL") + ")"),
+    "check_repeated_customers": (
+        "SELECT customer_id, COUNT(*) AS occurrences FROM {db}bronze_customers GROUP BY customer_id HAVING COUNT(*) > 1"),
+    "check_missing_category": _failing("products", "category IS NULL"),
+    "check_negative_quantity": _failing("order_items", "quantity < 0"),
+    "check_prices": _failing("products", "selling_price <= 0"),
+    "check_payment_amounts": _failing("payments", "payment_amount <= 0"),
+    "check_orders_of_unknown_customers": _orphans("orders", "customers", "customer_id"),
+    "check_items_of_unknown_products": _orphans("order_items", "products", "product_id"),
+    "check_payments_of_unknown_orders": _orphans("payments", "orders", "order_id"),
+    "check_order_dates": _failing("orders", "order_date IS NULL OR order_date > CURRENT_DATE"),
+    "check_order_statuses": _failing("orders", f"order_status NOT IN {_one_of(S.ORDER_STATUSES)}"),
+    "check_payment_statuses": _failing("payments", f"payment_status NOT IN {_one_of(S.PAYMENT_STATUSES)}"),
+}
+SQL |= CHECKS
+
+
 def run_sql(spark: SparkSession, name: str, database: str | None = None):
     return spark.sql(SQL[name].format(db=f"{database}." if database else ""))
 
@@ -71,7 +105,7 @@ def run_sql_on(spark: SparkSession, name: str, model) -> "DataFrame":
     parameters of ``spark.sql`` (no catalog, no session-wide views)."""
     import re
     text = SQL[name].replace("{db}", "")
-    names = sorted(set(re.findall(r"\b(fact_sales|dim_\w+|silver_\w+)\b", text)))
+    names = sorted(set(re.findall(r"\b(fact_sales|dim_\w+|silver_\w+|bronze_\w+)\b", text)))
     for n in names:
         text = re.sub(rf"\b{n}\b", "{" + n + "}", text)
-    return spark.sql(text, **{n: getattr(model, n) for n in names})
+    return spark.sql(text, **{n: model.bronze[n[7:]] if n.startswith("bronze_") else getattr(model, n) for n in names})

@@ -314,6 +314,13 @@ def _join_audit(c: Ctx):
     return join_audit(c.model.silver_order_items, c.model.fact_sales)
 
 
+@register("fact_lost_items")
+def _lost_items(c: Ctx):
+    """Landed items that never reached the fact: rejected ones, and those of rejected orders."""
+    from lakemart.plans import gold
+    return gold.join_audit(c.model.bronze["order_items"], c.model.fact_sales)
+
+
 @register("star_wide")
 def _star_wide(c: Ctx):
     return star.star(c.model).drop("sales_key")
@@ -358,6 +365,9 @@ register("unknown_category_share")(lambda c: metrics.unknown_category_share(c.mo
 for _n in ("total_revenue", "revenue_by_category", "monthly_net_sales", "cancellation_rate"):
     register(f"sql_{_n}")(lambda c, n=_n: catalog.run_sql_on(c.spark, n, c.model))
 
+for _n in catalog.CHECKS:
+    register(f"sql_{_n}")(lambda c, n=_n: catalog.run_sql_on(c.spark, n, c.model))
+
 
 # ----- BI measures -------------------------------------------------------------
 
@@ -476,6 +486,15 @@ register("dq_summary_extended")(lambda c: dq.run_all_checks("bronze", dq.bronze_
                                 .unionByName(dq.run_all_checks("silver", dq.silver_tables(c.model), extended=True)))
 
 
+@register("dq_injected")
+def _dq_injected(c: Ctx):
+    """The suite over tables with known defects of every kind that it looks for."""
+    from lakemart.operators import faults
+    clean = dq.silver_tables(c.model)
+    return dq.run_all_checks("injected", {t: faults.strip_flags(faults.apply_issues(clean[t], S.KEYS[t], faults.CHECK_PLANS[t]))
+                                          for t in dq.TABLES})
+
+
 def _dq_rows(check_name: str):
     def f(c: Ctx):
         return dq.dq_summary(c.model, only={check_name})

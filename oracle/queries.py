@@ -492,5 +492,50 @@ _o = _step(_twice("orders", "order_id", 42, "0.005"), "order_id", 143, "0.01",
 Q["injected_orders"] = f"SELECT {cols(SILVER_COLS['orders'])} FROM {_o}"
 
 
+# ----- the suite over tables with injected defects, and what the fact lost ---------------
+def _once(table: str) -> str:
+    return f"(SELECT *, 0 AS copy, false AS picked, '' AS other, '' AS third FROM s_{table})"
+
+
+def _restyled(col: str) -> str:
+    return (f"CASE WHEN NOT picked THEN {col} ELSE CASE ascii(other) % 3 WHEN 0 THEN upper({col}) WHEN 1 THEN lower({col}) "
+            f"ELSE {initcap(col)} END END AS {col}")
+
+
+def _picked(col: str, value: str) -> str:
+    return f"CASE WHEN picked THEN {value} ELSE {col} END AS {col}"
+
+
+def _dq_injected() -> str:
+    p = _step(_once("products"), "product_id", 42, "0.02", _picked("category", "NULL"))
+    p = _step(p, "product_id", 143, "0.01", _picked("selling_price", "-abs(selling_price)"))
+    o = _step(_o, "order_id", 244, "0.01", _picked("order_date", "NULL"))
+    o = _step(o, "order_id", 345, "0.005", _picked("order_date", "DATE '2999-12-31'"))
+    o = _step(o, "order_id", 446, "0.02", _restyled("order_status"))
+    i = _step(_once("order_items"), "order_item_id", 42, "0.005", _picked("quantity", "-abs(quantity)"))
+    i = _step(i, "order_item_id", 143, "0.01", _picked("product_id", "'NOPROD-' || upper(substr(third, 1, 16))"))
+    pay = _step(_twice("payments", "payment_id", 42, "0.01"), "payment_id", 143, "0.01", _picked("payment_amount", "-abs(payment_amount)"))
+    pay = _step(pay, "payment_id", 345, "0.02", _restyled("payment_status"))
+    pay = _step(pay, "payment_id", 446, "0.01", _picked("order_id", "'NOORD-' || upper(substr(third, 1, 16))"))
+    tables = {"customers": _c, "products": p, "orders": o, "order_items": i, "payments": pay}
+    return (f"SELECT * FROM (WITH {', '.join(f'd_{t} AS MATERIALIZED {body}' for t, body in tables.items())} "
+            f"{_with_status(dq_layer('injected', 'd'))})")
+
+
+Q["dq_injected"] = _dq_injected()
+Q["fact_lost_items"] = ("SELECT order_item_id FROM b_order_items i WHERE NOT EXISTS "
+                        "(SELECT 1 FROM fact_sales f WHERE f.order_item_id = i.order_item_id)")
+
+# ----- the stand-alone checks as SQL text
+for _key, _same in {
+    "check_null_city": "dqsql_01", "check_repeated_customers": "dqsql_02", "check_missing_category": "dqsql_03",
+    "check_negative_quantity": "dqsql_04", "check_prices": "dqsql_05", "check_payment_amounts": "dqsql_06",
+    "check_orders_of_unknown_customers": "dqsql_07", "check_items_of_unknown_products": "dqsql_07b",
+    "check_payments_of_unknown_orders": "dqsql_07c", "check_order_dates": "dqsql_08", "check_order_statuses": "dqsql_09a",
+    "check_payment_statuses": "dqsql_09b",
+}.items():
+    Q[f"sql_{_key}"] = Q[_same]
+
+
 def oracle_sql() -> dict[str, str]:
     return {k: PREFIX + v for k, v in Q.items()}

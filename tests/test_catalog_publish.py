@@ -72,3 +72,15 @@ def test_completed_lake_is_reused_from_its_marker(spark, lake):
     finally:
         pipeline._LAKES.clear()
         pipeline._LAKES.update(saved)
+
+
+def test_check_texts_equal_the_checks(spark, lake):
+    from lakemart.plans import dq
+
+    bronze = dq.bronze_tables(lake)
+    same = {"check_missing_category": dq.missing_category, "check_negative_quantity": dq.negative_quantities,
+            "check_prices": dq.invalid_prices, "check_null_city": dq.null_city_pct, "check_order_statuses": dq.invalid_order_statuses,
+            "check_payments_of_unknown_orders": dq.fk_payments_orders, "check_repeated_customers": dq.duplicate_customer_ids}
+    for name, check in same.items():
+        assert sorted(map(tuple, catalog.run_sql_on(spark, name, lake).collect())) == sorted(map(tuple, check(bronze).collect()))
+    assert len(catalog.CHECKS) == 12

@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from lakemart.operators import faults, quality as Q
 
+from conftest import SF0001
+
 
 def _customers(spark, n=2000, parts=3):
     return (spark.range(n).select(F.format_string("C%05d", "id").alias("customer_id"),
@@ -60,3 +62,27 @@ def test_picks_are_the_smallest_digests_without_sort_or_checkpoint(spark):
     main = out._jdf.queryExecution().executedPlan().toString()
     assert "Sort" not in main and "Join" not in main and "Exchange hash" not in main and "Exchange range" not in main
     assert faults.inject_nulls(df.limit(0), "city", 0.5, "customer_id").count() == 0
+
+
+def test_every_check_finds_what_was_injected(spark):
+    from lakemart.plans import queries
+    from lakemart.plans.pipeline import fixture_lake
+
+    got = {(r.table_name, r.check_name): r for r in queries.run("dq_injected", spark, SF0001).collect()}
+    assert len(got) == 14 and all(r.failed_records > 0 and r.status == "FAIL" for r in got.values())
+    orders = fixture_lake(spark, SF0001).silver_orders.count()
+    landed = orders + orders * 5 // 1000
+    failed = {c: got["orders", c] for c in ("Duplicate order_id", "Invalid order_date", "Invalid order_status")}
+    assert all(r.total_records == landed for r in failed.values())
+    assert failed["Duplicate order_id"].failed_records == orders * 5 // 1000
+    # a null date and a date to come may hit one row; a restyled status can stay as it was
+    nulls, late = landed // 100, landed * 5 // 1000
+    assert max(nulls, late) <= failed["Invalid order_date"].failed_records <= nulls + late
+    assert failed["Invalid order_status"].failed_records <= landed * 2 // 100
+
+
+def test_far_dates_hit_exactly_their_share(spark):
+    rows = spark.range(1000).select("id", F.lit("2001-02-03").cast("date").alias("day"))
+    got = faults.strip_flags(faults.inject_far_date(rows, "day", 0.013, "id"))
+    assert got.where(F.col("day") == faults.FAR_DATE).count() == 13 and got.count() == 1000
+    assert faults.inject_far_date(rows.limit(0), "day", 0.5, "id").count() == 0
