@@ -86,3 +86,13 @@ def test_far_dates_hit_exactly_their_share(spark):
     got = faults.strip_flags(faults.inject_far_date(rows, "day", 0.013, "id"))
     assert got.where(F.col("day") == faults.FAR_DATE).count() == 13 and got.count() == 1000
     assert faults.inject_far_date(rows.limit(0), "day", 0.5, "id").count() == 0
+
+
+def test_histogram_of_digests_is_short(spark):
+    """A task shuffles one row for each bin that it met, not for each of its rows."""
+    from lakemart.operators import faults
+    n = 300_000
+    df = spark.range(0, n, 1, 1).selectExpr("cast(id as string) k")
+    out = faults.inject_nulls(df.withColumn("v", df["k"]), "v", 0.01, "k", label="v")
+    assert out.filter("_picked_v").count() == n // 100 == out.filter("v is null").count()
+    assert 16 ** faults.BIN_DIGITS < n / 4
