@@ -6,6 +6,9 @@ apart, so that any S shingles in a row lie in one window and the Jaccard
 similarity of an item and its window is bounded from below by the containment.
 Item and window are a candidate pair when one of their MinHash values is equal;
 candidates are then verified by exact containment in the whole document.
+The multipliers are odd, so a MinHash value is equal only where the least shingle is
+one of the item's: documents without a shingle of any item are left out before the
+windows are made, which loses no candidate.
 
 Classes begin at one shingle and double.  An item of one shingle is looked up as
 it is, exactly.  An item of s > S / 2 shingles that a window holds to the
@@ -50,6 +53,11 @@ class Items:
         self.ids = ids
         self.sets = [h[i:j] for i, j in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
         size = np.diff(ends)
+        # the items' shingles, and which leading bits they have (at least 8 places for each)
+        self.all = np.unique(h)
+        self.bits = max(10, (8 * len(self.all)).bit_length())
+        self.held = np.zeros(1 << self.bits, bool)
+        self.held[self.all >> _U(64 - self.bits)] = True
         self.classes = {}
         self.factor = mix(np.arange(1, HASHES + 1, dtype=_U)) | _U(1)
         low, top = 0, 1
@@ -66,11 +74,21 @@ class Items:
                 self.classes[top] = tables
             low, top = top, 2 * top
 
+    def near(self, doc: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All shingles of the documents that have one of an item's."""
+        maybe = np.flatnonzero(self.held[h >> _U(64 - self.bits)])
+        kept = np.zeros(int(doc[-1]) + 1, bool)
+        kept[doc[maybe[np.isin(h[maybe], self.all)]]] = True
+        return doc[kept[doc]], h[kept[doc]]
+
     def candidates(self, doc: np.ndarray, h: np.ndarray) -> set[tuple[int, int]]:
         """(document, item) pairs of documents' shingles in text order."""
         found: set[tuple[int, int]] = set()
         if not len(h) or not self.classes:
             return found
+        doc, h = self.near(doc, h)
+        if not len(h):
+            return found
         first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
         place = np.arange(len(doc)) - np.repeat(first, np.diff(np.append(first, len(doc))))
         top = max(self.classes)

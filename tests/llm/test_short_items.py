@@ -92,3 +92,22 @@ def test_repeated_ids_and_empty_tables(spark):
     assert got[True][0] > 0.7 > got[False][1]
     none = toxicity.fit(d.limit(0), lab)
     assert toxicity.score(d.limit(0), none).count() == 0 and not len(none.features)
+
+
+def test_windows_are_made_of_documents_that_share_a_shingle_and_lose_no_candidate():
+    rng = np.random.default_rng(6)
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(rng.choice(words, n)) for n in (6, 9, 20, 40, 70)]
+    items = decontaminate.Items(list(range(5)), texts, 5, [1] * 5)
+    docs = [" ".join([*rng.choice(words, 50), t, *rng.choice(words, 30)]) for t in texts]
+    docs += [" ".join(texts[4].split()[:5]), ""] + [" ".join(rng.choice(words, 200)) for _ in range(60)]
+    data = np.frombuffer("".join(docs).encode(), np.uint8)
+    off = np.concatenate([[0], np.cumsum([len(d) for d in docs])])
+    doc, h = decontaminate.shingles(data, off, 5)
+    kept, same = items.near(doc, h)
+    assert set(kept.tolist()) == set(range(6))  # of the others none has a run of five words in common
+    assert np.array_equal(h[doc < 6], same) and np.array_equal(doc[doc < 6], kept)
+    found = items.candidates(doc, h)
+    assert {(i, i) for i in range(5)} <= found
+    items.near = lambda doc, h: (doc, h)  # every document's windows
+    assert items.candidates(doc, h) == found
