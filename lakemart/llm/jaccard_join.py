@@ -37,6 +37,8 @@ SLICE_DOCS = 1 << 12
 ROUNDS = 4
 #: Sets of a block compared in one task; larger blocks are compared chunk by chunk.
 BLOCK_SETS = 1024
+#: Bits of a bitmap for each id that it marks.
+MARK_BITS = 16
 #: 64-bit words of a parity sketch.
 SKETCH_WORDS = 16
 
@@ -335,6 +337,24 @@ def _met(rows: DataFrame, n: int) -> DataFrame:
     return tasks.withColumn("bucket", F.pmod(F.xxhash64("block", "i", "j"), F.lit(n)).cast("int")).groupBy("bucket")
 
 
+def marked_rows(rows: DataFrame, key: str, ids: DataFrame, bits: int | None = None) -> DataFrame:
+    """The rows whose ``key`` (a long) may be one of ``ids``, told by a broadcast bitmap of
+    hashes: those of ids all stay, and of the others about one in MARK_BITS.  So that rows
+    which no join wants are not shuffled for it.  At most 32 MB are broadcast."""
+    if bits is None:
+        bits = min(max((MARK_BITS * ids.count()).bit_length(), 15), 28)
+
+    def at(col: str):
+        return F.pmod(F.xxhash64(col), F.lit(1 << bits))
+
+    marks = (ids.select(at(ids.columns[0]).alias("__at")).groupBy(F.shiftright("__at", 15).alias("__page"))
+             .agg(F.bitmap_construct_agg(F.col("__at") % (1 << 15)).alias("__marks")))
+    byte = F.expr("cast(conv(hex(substring(__marks, cast(shiftright(__at % 32768, 3) as int) + 1, 1)), 16, 10) as int)")
+    bit = F.expr("cast(shiftleft(1, cast(__at % 8 as int)) as int)")
+    placed = rows.withColumn("__at", at(key)).withColumn("__page", F.shiftright("__at", 15))
+    return placed.join(F.broadcast(marks), "__page").where(byte.bitwiseAND(bit) != 0).select(*rows.columns)
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, percent: int = 85) -> DataFrame:
     """One row per input row: doc_id, n_shingles and component_id.
 
@@ -366,7 +386,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     targets = _dealt(members).groupBy("member").agg(F.collect_list(F.struct("block", "g", "chunk")).alias("targets"))
     kind = dict(targets.dtypes)["targets"]
     # the same join at every size: the targets grow with the documents
-    wanted = docs.join(targets.withColumnRenamed("member", "doc_id").hint("merge"), "doc_id").select("doc_id", "text", "targets")
+    wanted = marked_rows(docs, "doc_id", members.select("member").distinct()).join(targets.withColumnRenamed("member", "doc_id").hint("merge"), "doc_id").select("doc_id", "text", "targets")
     sets = (wanted.mapInArrow(light(_sets_of(words)), f"member long, targets {kind}, features binary")
             .select("member", F.explode("targets").alias("t"), "features").select("member", "t.*", "features"))
     links = _met(sets, buckets).applyInArrow(light(_compare(percent)), "a long, b long")

@@ -111,3 +111,18 @@ def test_windows_are_made_of_documents_that_share_a_shingle_and_lose_no_candidat
     assert {(i, i) for i in range(5)} <= found
     items.near = lambda doc, h: (doc, h)  # every document's windows
     assert items.candidates(doc, h) == found
+
+
+def test_rows_that_no_join_wants_are_told_by_a_bitmap(spark):
+    from lakemart.llm.jaccard_join import marked_rows
+    rows = spark.range(40_000).selectExpr("if(id % 1000 = 1, null, id * 7 - 90000) doc_id", "id other")
+    ids = spark.range(0, 40_000, 40).selectExpr("id * 7 - 90000 member")
+    wanted = {r.member for r in ids.collect()}
+    got = marked_rows(rows, "doc_id", ids)
+    assert got.columns == rows.columns
+    found = [r.doc_id for r in got.collect() if r.doc_id is not None]
+    assert wanted <= set(found) and len(found) == len({*found}) and len(found) < 1000 + 40_000 / 8
+    assert "hashpartitioning(doc_id" not in got._jdf.queryExecution().executedPlan().toString()
+    full = marked_rows(rows, "doc_id", ids, bits=15)  # more ids than it is made for: more rows stay
+    assert wanted <= {r.doc_id for r in full.collect()}
+    assert marked_rows(rows, "doc_id", ids.limit(0)).count() == 0
