@@ -130,6 +130,24 @@ def test_phrases_of_no_texts(spark):
     assert phrases.collocations(spark.createDataFrame([(None, None), ("", "en")], "text string, lang string")).count() == 0
 
 
+def test_suffixes_are_grouped_once_each_and_rare_words_are_not_stored(spark, monkeypatch):
+    import random
+    rng = random.Random(12)
+    common = [" ".join(rng.choices(["red", "green", "blue", "grey"], k=rng.randint(2, 9))) for _ in range(80)]
+    rows = [(f"{t} rare{i}x{rng.random()}", "en") for i, t in enumerate(common)]
+    monkeypatch.setattr(phrases, "HELD", 16)
+    monkeypatch.setattr(phrases, "KEPT", 24)
+    stored, grouped, saved, plain = [], [], phrases.saved, phrases._grouped
+    monkeypatch.setattr(phrases, "saved", lambda df, spark: stored.append(saved(df, spark)) or stored[-1])
+    monkeypatch.setattr(phrases, "_grouped", lambda rows, spark: grouped.append(rows) or plain(rows, spark))
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(3)
+    got = _as_rows(phrases.collocations(docs, least=5, top=25))
+    assert got == plain_phrases(rows, 5, 25)
+    assert grouped[0].count() == grouped[0].select("h1", "h2", "h3", "h4").distinct().count() > 0
+    kept = {r.word for df in stored if "word" in df.columns for r in df.where("word IS NOT NULL").select("word").collect()}
+    assert kept == {"red", "green", "blue", "grey"}
+
+
 # ----- manifest ----------------------------------------------------------------
 
 def h(*parts):
