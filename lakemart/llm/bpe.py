@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 from lakemart.llm.memory import Memory, light
 
 #: Distinct white-space-free pieces whose encoding a worker keeps in each of two generations.
-MEMORY = 250_000
+MEMORY = 1 << 17
 #: Texts are encoded in groups of about so many characters.
-GROUP_CHARS = 1 << 20
+GROUP_CHARS = 1 << 18
 #: Fewer words of a width than this are merged one by one, not as the rows of an array.
 FEW = 16
 _EMPTY = np.int64(1) << 62
@@ -191,18 +191,20 @@ class Bpe:
 
     def words(self, words: list[bytes]) -> list[tuple[bytes, str]]:
         """Ids and decoded text of each word, given as its UTF-8 bytes (not empty)."""
+        return [(ids, self.decode(np.frombuffer(ids, "<u4").tolist())) for ids in self.word_ids(words)]
+
+    def word_ids(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word, given as its UTF-8 bytes (not empty)."""
         out: list = [None] * len(words)
         size = np.array([len(x) for x in words], dtype=np.int64)
         width = np.maximum(2, 1 << np.ceil(np.log2(np.maximum(size, 1))).astype(np.int64))
-        name = self.strings.__getitem__
         for w in np.unique(width):
             rows_at = np.flatnonzero(width == w)
             if len(rows_at) < FEW:
                 for i in rows_at.tolist():
                     sym = self.inner[np.frombuffer(words[i], np.uint8)].tolist()
                     sym[-1] = int(self.final[words[i][-1]])
-                    ids = self.merge_one(sym, int(w))
-                    out[i] = np.array(ids, "<u4").tobytes(), " ".join(map(name, ids))
+                    out[i] = np.array(self.merge_one(sym, int(w)), "<u4").tobytes()
                 continue
             step = max(1, (1 << 19) // int(w))
             for k in range(0, len(rows_at), step):
@@ -214,11 +216,10 @@ class Bpe:
                 sym[np.arange(len(at)), n - 1] = self.final[flat[np.cumsum(n) - 1]]
                 got = self.merge(sym, n)
                 left = got >= 0
-                ids = got[left]
-                raw, names = ids.astype("<u4").tobytes(), list(map(name, ids.tolist()))
+                raw = got[left].astype("<u4").tobytes()
                 start = 0
                 for i, end in zip(at.tolist(), np.cumsum(left.sum(1)).tolist(), strict=True):
-                    out[i] = raw[4 * start: 4 * end], " ".join(names[start:end])
+                    out[i] = raw[4 * start: 4 * end]
                     start = end
         return out
 
@@ -229,14 +230,10 @@ class Bpe:
         missing = self.word_memory.missing(need)
         word = self.word_memory.new
         if missing:
-            word.update(zip(missing, self.words(missing), strict=True))
+            word.update(zip(missing, self.word_ids(missing), strict=True))
         known = self.memory.new
         for p, ws in zip(pieces, parts, strict=True):
-            if len(ws) == 1:
-                known[p] = word[ws[0]]
-            else:
-                got = [word[x] for x in ws]
-                known[p] = b"".join([g[0] for g in got]), " ".join([g[1] for g in got])
+            known[p] = word[ws[0]] if len(ws) == 1 else b"".join([word[x] for x in ws])
 
     def split_piece(self, piece: str) -> list[bytes]:
         return [x.encode() for x in self.pattern.findall(piece)]
@@ -281,17 +278,11 @@ class Bpe:
         self.learn(list(odd), lambda p: self.split_odd(p[1:]))
         all_ids, all_text = [], []
         for plan in plans:
-            ids, text = [], []
-            for part in plan:
-                if isinstance(part, str):
-                    ids.append(self.special[part].to_bytes(4, "little"))
-                    text.append(part)
-                else:
-                    got = list(zip(*[known[p] for p in part], strict=True))
-                    ids.append(b"".join(got[0]))
-                    text.append(" ".join(got[1]))
-            all_ids.append(b"".join(ids))
-            all_text.append(" ".join([t for t in text if t]))
+            ids = b"".join([self.special[part].to_bytes(4, "little") if isinstance(part, str) else b"".join([known[p] for p in part])
+                            for part in plan])
+            all_ids.append(ids)
+            # the memories hold no decoded text: looked up anew, it costs little
+            all_text.append(self.decode(np.frombuffer(ids, "<u4").tolist()))
         for p in odd:
             known.pop(p, None)
         return all_ids, all_text

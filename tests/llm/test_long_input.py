@@ -3,6 +3,7 @@ short ones, within a time that a quadratic scan would miss by far."""
 
 import random
 import time
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -75,3 +76,18 @@ def test_one_by_one_and_as_rows_merge_alike(monkeypatch):
     rows = bpe.Bpe(path).words(words)
     monkeypatch.setattr(bpe, "FEW", len(words) + 1)
     assert bpe.Bpe(path).words(words) == rows
+
+
+def test_bpe_memories_hold_ids_and_nothing_else():
+    own, n = bpe.Bpe(tokenizer_path("word_bpe_49k.json")), 20_000
+    text = " ".join(f"{i * 7919:x}q" for i in range(n))
+    tracemalloc.start()
+    ids, decoded = own.encode([text])
+    assert decoded == [own.decode(np.frombuffer(ids[0], "<u4").tolist())]
+    held = tracemalloc.get_traced_memory()[0]
+    assert len(own.memory.new) == n
+    own.memory.clear()
+    own.word_memory.clear()
+    each = (held - tracemalloc.get_traced_memory()[0]) / n
+    tracemalloc.stop()
+    assert each < 200  # 278 bytes a word with the decoded texts, 138 without
