@@ -148,6 +148,18 @@ def test_suffixes_are_grouped_once_each_and_rare_words_are_not_stored(spark, mon
     assert kept == {"red", "green", "blue", "grey"}
 
 
+def test_small_partitions_do_not_pass_on_the_same_words_each(spark, monkeypatch):
+    rows = [("red green blue. grey red", "en")] * 640
+    stored, saved = [], phrases.saved
+    monkeypatch.setattr(phrases, "saved", lambda df, spark: stored.append(saved(df, spark)) or stored[-1])
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(64)
+    assert _as_rows(phrases.collocations(docs)) == plain_phrases(rows, 30, 2000)
+    passed_on = next(df for df in stored if {"h1", "word", "c"} <= set(df.columns))
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    # four words, and the suffixes red green blue, green blue, grey red; 64 times before
+    assert passed_on.count() <= 7 * tasks < 7 * 64
+
+
 # ----- manifest ----------------------------------------------------------------
 
 def h(*parts):
