@@ -205,6 +205,14 @@ def test_top_k_equals_brute_force(spark):
     assert {r.vec_id: r.weights for r in topk.integer_vectors(e).collect()} == {1: [128, -1], 2: None, 3: None, 4: None}
 
 
+def test_top_k_does_not_broadcast_blocks_of_queries(spark):
+    """A few queries look small; their blocks, once for each lane, are not."""
+    v = spark.range(400).selectExpr("id vec_id", "transform(sequence(1, 32), i -> (id * i) % 17) weights").localCheckpoint()
+    got = topk.top_k(v, v.where("vec_id % 2 = 0"), 3)
+    assert got.count() == 600
+    assert "BroadcastExchange" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_shards_differ_by_one_row_and_have_no_gaps(spark, tmp_dir, monkeypatch):
     monkeypatch.setattr(sharding, "BUCKET_ROWS", 50)
     monkeypatch.setattr(sharding, "GROUP", 3)
