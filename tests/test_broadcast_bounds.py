@@ -55,6 +55,17 @@ def test_keys_that_a_parent_lacks_by_their_hashes(spark, tmp_dir):
         assert "Exchange hashpartitioning(k" not in _plan(got)
 
 
+def test_keys_that_a_parent_has_where_it_lacks_many(spark, tmp_dir):
+    spark.range(4000).selectExpr("if(id % 9 = 0, null, concat('k', id % 900)) k", "id").write.parquet(f"{tmp_dir}/child")
+    child = spark.read.parquet(f"{tmp_dir}/child")
+    parent = spark.range(300).selectExpr("concat('k', id * 2) k").union(spark.createDataFrame([(None,), ("k2",)], "k string"))
+    got = V.absent(child, parent, "k", max_keys=9, max_present=302)
+    assert got.present and V.absent(child, parent, "k", max_keys=9, max_present=301) is parent
+    for check in (V.fk_valid, V.fk_invalid):
+        assert _rows(check(child, got, "k")) == _rows(check(child, parent, "k"))
+    assert "Exchange hashpartitioning(k" not in _plan(V.fk_valid(child, got, "k"))
+
+
 def test_a_parent_of_many_keys_is_not_broadcast_to_find_them(spark, few, monkeypatch):
     seen = []
     whole = joins.bounded
@@ -85,3 +96,20 @@ def test_lake_of_many_products_is_that_of_few(spark, tmp_dir, monkeypatch):
     assert len({r["pass"] for r in spark.read.parquet(f"{tmp_dir}/many/work/product_items").select("pass").distinct().collect()}) == 4
     assert _rows(one.fact_sales) == _rows(many.fact_sales)
     assert many.dim_product.count() == rows
+
+
+def test_children_without_parents_yet_are_classified_in_place(spark, tmp_dir):
+    """No item moves for a parent that is empty or lacks few keys."""
+    from lakemart.plans.model import FIXTURE_CONFIG
+    from lakemart.streaming.silver_stream import IncrementalSilver
+    raw = {t: df.localCheckpoint() for t, df in testdata.raw(spark, SF0001).as_dict().items()}
+    inc = IncrementalSilver(spark, f"{tmp_dir}/inc", FIXTURE_CONFIG, buckets=2)
+    early = inc._classify("order_items", raw["order_items"])
+    early.collect()
+    assert "Exchange hashpartitioning" not in _plan(early)
+    assert {r[0] for r in early.select(V.REASON).distinct().collect()} == {"negative_quantity", "invalid_order_fk"}
+    inc.apply({t: raw[t] for t in ("customers", "products", "stores", "orders")}, 0)
+    late = inc._classify("order_items", raw["order_items"])
+    assert "Exchange hashpartitioning" not in _plan(late)
+    plain = V.with_parent(raw["order_items"], inc.silver("orders"), "order_id", "there")
+    assert late.where(f"{V.REASON} = 'invalid_order_fk'").count() == plain.where("there IS NULL AND quantity > 0").count() > 0
